@@ -1 +1,17 @@
 """Queries that run the operators on the driver tables, each with its SQL where SQL can say it."""
+
+from rowloom.plans import (  # noqa: F401
+    aggregates,
+    changes,
+    checks,
+    formats,
+    functions,
+    lookups,
+    matches,
+    rowcodes,
+    shapes,
+    streams,
+)
+from rowloom.plans.registry import QUERIES, SQL, TABLES
+
+__all__ = ["QUERIES", "SQL", "TABLES"]
