@@ -153,12 +153,20 @@ def boundaries_between(unit: str, start: Column | str, end: Column | str) -> Col
             return F.date_sub(c.cast("date"), F.dayofweek(c) - 1)
 
         return (F.datediff(sunday(end), sunday(start)) / 7).cast("bigint")
-    divisor = {"hour": 3_600_000_000, "minute": 60_000_000, "second": 1_000_000, "millisecond": 1_000}[unit]
+    return _clock(end, unit) - _clock(start, unit)
 
-    def turn(c: Column) -> Column:
-        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(divisor).cast("decimal(20,0)"))
 
-    return (turn(end) - turn(start)).cast("bigint")
+def _clock(value: Column, unit: str) -> Column:
+    """Units on the clock since 1970, read from the fields of the value and so free of time zones."""
+    ticks = F.datediff(value, F.lit(dt.date(1970, 1, 1))).cast("bigint") * 24 + F.hour(value)
+    if unit != "hour":
+        ticks = ticks * 60 + F.minute(value)
+    if unit in ("second", "millisecond"):
+        ticks = ticks * 60 + F.second(value)
+    if unit == "millisecond":
+        fraction = F.date_part(F.lit("second"), value) - F.second(value)
+        ticks = ticks * 1000 + F.floor(fraction * 1000)
+    return ticks
 
 
 def months_between(end: Column | str, start: Column | str) -> Column:
@@ -198,7 +206,8 @@ def parse_timestamp(value: Column | str, fmt: str, dialect: str = "oracle", stri
 
 
 def epoch_seconds(value: Column | str) -> Column:
-    return F.unix_seconds(as_col(value).cast("timestamp"))
+    """Seconds since 1970 of a time on the UTC clock."""
+    return _clock(as_col(value), "second")
 
 
 def truncate(value: Column | str, unit: str) -> Column:

@@ -80,9 +80,9 @@ def joined_list(
     """
     source = df.select(*by, value).distinct() if distinct else df
     order = value if distinct or order_by is None else order_by
-    pairs = F.sort_array(F.collect_list(F.struct(F.col(order).alias("k"), F.col(value).cast("string").alias("v"))))
+    pairs = F.sort_array(F.collect_list(F.struct(F.col(order).alias("k"), F.col(value).alias("v"))))
     return source.filter(F.col(value).isNotNull()).groupBy(*by).agg(
-        F.array_join(F.transform(pairs, lambda p: p["v"]), separator).alias(name)
+        F.array_join(F.transform(pairs, lambda p: p["v"].cast("string")), separator).alias(name)
     )
 
 

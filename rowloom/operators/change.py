@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.operators.keys import first_per_key
@@ -48,18 +48,13 @@ def one_row_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[s
     if order_by:
         keyed = source.filter(_all_set(keys))
         return first_per_key(keyed, keys, order_by).unionByName(source.filter(~_all_set(keys)))
-    row = F.struct(*[F.col(f"`{c}`") for c in source.columns])
-    checked = (
-        source.filter(_all_set(keys))
-        .groupBy(*keys)
-        .agg(F.any_value(row).alias("_row"), F.count(F.lit(1)).alias("_n"))
-        .select(
-            F.when(F.col("_n") == 1, F.col("_row"))
-            .otherwise(F.raise_error(F.concat(F.lit("several source rows for key "), F.to_json(F.struct(*keys)))))
-            .alias("_row")
-        )
-        .select("_row.*")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    key = F.to_json(F.struct(*keys))
+    single = F.when(F.col("_place") == 1, True).otherwise(
+        F.raise_error(F.concat(F.lit("several source rows for key "), key)).cast("boolean")
     )
+    # hash-partitioned and sorted by key, which the merge join that follows can use as it is
+    checked = source.filter(_all_set(keys)).withColumn("_place", place).filter(single).drop("_place")
     return checked.unionByName(source.filter(~_all_set(keys)))
 
 

@@ -251,13 +251,15 @@ def schema_verdict(compared: DataFrame, entity: str) -> DataFrame:
     )
 
 
-def compare_files(spark: SparkSession, left: str, right: str) -> DataFrame:
-    """Files of two folders by relative name: same, different or only on one side."""
-    def side(path: str, name: str) -> DataFrame:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        root = F.lit(path.rstrip("/") + "/")
-        relative = F.substring_index(F.col("path"), root, -1)
-        return files.select(relative.alias("file"), F.sha2("content", 256).alias(f"{name}_hash"))
+def compare_files(spark: SparkSession, left: str, right: str, name: Column | None = None) -> DataFrame:
+    """Files of two folders by name: same, different or only on one side.
+
+    The name is the path below the folder, or an expression over ``path``.
+    """
+    def side(root: str, label: str) -> DataFrame:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        below = F.substring_index("path", root.rstrip("/") + "/", -1) if name is None else name
+        return files.select(below.alias("file"), F.sha2("content", 256).alias(f"{label}_hash"))
 
     joined = side(left, "left").join(side(right, "right"), "file", "full")
     state = (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom.operators.quality import compare_files
 from rowloom.plans.registry import Tables, query
@@ -36,8 +37,6 @@ def format_csv_rejects(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "badcsv")
     key = F.when(F.col("c_acctbal") < 0, F.concat(F.lit("x"), F.col("c_custkey").cast("string"))).otherwise(F.col("c_custkey").cast("string"))
     t.customer.select(F.concat_ws(",", key, "c_name", "c_mktsegment").alias("value")).write.text(path)
-    from pyspark.sql import types as T
-
     schema = T.StructType.fromDDL("c_custkey bigint, c_name string, c_mktsegment string")
     bad = files.delimited_flows(t.spark, path, schema).rejected
     return bad.select(
@@ -163,15 +162,14 @@ def file_manifest(t: Tables) -> DataFrame:
 
 @query("file_compare", "SELECT DISTINCT o_orderstatus, 'same' AS state FROM orders")
 def file_compare(t: Tables) -> DataFrame:
-    """Two exports of the same rows, compared file by file through their content hash."""
+    """Two exports of the same rows, one file per state, compared through their content hash."""
     paths = [scratch_path(t.spark, "export") for _ in range(2)]
+    summary = t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("last"))
     for path in paths:
-        summary = t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("last"))
-        summary.coalesce(1).sortWithinPartitions("o_orderstatus").write.partitionBy("o_orderstatus").json(path)
-    files_of = compare_files(t.spark, *[f"{p}/o_orderstatus=*" for p in paths])
-    # part file names differ between runs, so both sides are named by their folder first
-    by_folder = files_of.select(F.regexp_extract("file", "o_orderstatus=([^/]+)/", 1).alias("o_orderstatus"), "state")
-    return by_folder.distinct()
+        summary.write.partitionBy("o_orderstatus").json(path)
+    # part file names differ between runs, so a file is named by its folder
+    compared = compare_files(t.spark, *paths, name=F.regexp_extract("path", "o_orderstatus=([^/]+)/", 1))
+    return compared.withColumnRenamed("file", "o_orderstatus")
 
 
 @query("connector_registry", "SELECT n_nationkey, n_name, n_regionkey FROM nation")

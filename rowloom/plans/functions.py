@@ -143,7 +143,7 @@ WITH e AS (SELECT event_id, ts, TIMESTAMP '2023-12-31 23:59:30' AS base FROM eve
 SELECT event_id, date_diff('year', base, ts) AS years, date_diff('quarter', base, ts) AS quarters, date_diff('month', base, ts) AS months,
        date_diff('day', base, ts) AS days, date_diff('hour', base, ts) AS hours, date_diff('minute', base, ts) AS minutes,
        date_diff('second', base, ts) AS seconds, CAST(date_diff('day', base, ts) AS INTEGER) AS days_only,
-       (CAST(ts AS DATE) - dayofweek(ts) - (CAST(base AS DATE) - dayofweek(base))) // 7 AS weeks
+       CAST((date_diff('day', base, ts) - dayofweek(ts) + dayofweek(base)) // 7 AS BIGINT) AS weeks
 FROM e
 """)
 def fn_date_diff(t: Tables) -> DataFrame:

@@ -62,9 +62,7 @@ def windows(t: Tables) -> DataFrame:
     """Windows the watermark has closed when the stream ends."""
     path, checkpoint = scratch_path(t.spark, "windows"), scratch_path(t.spark, "windows-state")
     counted = stream_windows(
-        _events(t).withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour", {"n": F.count(F.lit(1)), "top": F.max("value")},
-        late="10 minutes", by=["event_type"],
+        _events(t), "ts", "1 hour", {"n": F.count(F.lit(1)), "top": F.max("value")}, late="10 minutes", by=["event_type"]
     )
     load_available(counted, path, checkpoint)
-    read = t.spark.read.schema(counted.schema).parquet(path)
-    return read.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+    return t.spark.read.schema(counted.schema).parquet(path)

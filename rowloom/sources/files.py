@@ -38,7 +38,10 @@ def delimited_flows(
     rows = spark.read.options(
         sep=separator, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=bad, **options
     ).schema(wide).csv(path)
-    return Flows(rows.filter(F.col(bad).isNull()).drop(bad), rows.filter(F.col(bad).isNotNull()).select(*schema.names, bad))
+    # Spark refuses to read the bad text alone, so it is tied to the other columns
+    text = F.coalesce(F.col(bad), F.concat_ws(separator, *[F.col(f"`{c}`").cast("string") for c in schema.names]))
+    rejected = rows.filter(F.col(bad).isNotNull()).select(*schema.names, text.alias(bad))
+    return Flows(rows.filter(F.col(bad).isNull()).drop(bad), rejected)
 
 
 def read_json(spark: SparkSession, path: str, schema: Schema | None = None, multiline: bool = False, **options: object) -> DataFrame:
