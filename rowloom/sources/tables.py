@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from rowloom.operators.change import apply_action
 from rowloom.session import materialize
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
@@ -79,12 +81,18 @@ def save_by_load_type(df: DataFrame, name: str, full: bool, **options) -> None:
 def insert_into(df: DataFrame, name: str, overwrite_partitions: bool = False) -> None:
     """Append to a table by column name, or replace just the partitions the rows fall in, so
     that a load can be run again."""
-    table_columns = df.sparkSession.read.table(name).columns
-    writer = df.select(*table_columns).write
-    if overwrite_partitions:
-        writer.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
-    else:
+    spark = df.sparkSession
+    writer = df.select(*spark.read.table(name).columns).write
+    if not overwrite_partitions:
         writer.insertInto(name)
+        return
+    # tables take the mode from the session only, not from a writer option
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        writer.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def run_statement(spark: SparkSession, statement: str, parameters: Mapping[str, object] | None = None, **views: DataFrame) -> DataFrame:
