@@ -7,9 +7,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom.flows import Flows
-from rowloom.operators.keys import as_columns, first_per_key, number_rows, rank_equals, top_per_key
+from rowloom.operators.keys import (
+    HOT_ROWS,
+    as_columns,
+    first_per_key,
+    number_rows,
+    rank_equals,
+    split_hot,
+    top_per_key,
+)
 
 __all__ = [
     "aggregate", "distinct_rows", "unique_flows", "first_per_key", "rank_equals", "top_per_key", "value_counts",
@@ -17,6 +26,9 @@ __all__ = [
     "windowed_counts", "sort_rows", "top_rows", "page_rows", "random_rows", "unite", "difference",
 ]
 
+# values joined at a time in a large group
+_PIECE = 10_000
+
 # Function names accepted in aggregate(), with the empty-input behaviour of SQL.
 _FUNCTIONS = {
     "count": F.count,
@@ -50,13 +62,16 @@ def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return (df.select(*columns) if columns else df).distinct()
 
 
-def unique_flows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> Flows:
+def unique_flows(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], hot_rows: int = HOT_ROWS
+) -> Flows:
     """First row per key, and all the others.
 
-    Both flows come from one written numbering, so together they are the input even where
-    rows tie on the order. For the unique rows alone, ``first_per_key`` is cheaper.
+    The remaining columns break ties, so both flows take the same first row and together are
+    the input. For the unique rows alone, ``first_per_key`` is cheaper.
     """
-    numbered = number_rows(df, "_nth", order_by, keys)
+    sortable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    numbered = number_rows(df, "_nth", [*order_by, *[F.col(f"`{c}`") for c in sortable]], keys, hot_rows=hot_rows)
     return Flows(numbered.filter("_nth = 1").drop("_nth"), numbered.filter("_nth > 1").drop("_nth"))
 
 
@@ -72,18 +87,33 @@ def joined_list(
     separator: str = ",",
     order_by: str | None = None,
     distinct: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Values of a group as one ordered, delimited text.
 
-    ``distinct`` removes repeats before the exchange; use it where a group may be large
-    and its set of values is not. The text itself must fit one cell.
+    ``distinct`` removes repeats before the exchange. The values of a large group are put
+    in order over many tasks and joined piece by piece; only its text is ever in one place,
+    and that has to fit one cell.
     """
-    source = df.select(*by, value).distinct() if distinct else df
     order = value if distinct or order_by is None else order_by
-    pairs = F.sort_array(F.collect_list(F.struct(F.col(order).alias("k"), F.col(value).alias("v"))))
-    return source.filter(F.col(value).isNotNull()).groupBy(*by).agg(
-        F.array_join(F.transform(pairs, lambda p: p["v"].cast("string")), separator).alias(name)
-    )
+    source = df.select(*by, F.col(order).alias("_k"), F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    if distinct:
+        source = source.distinct()
+
+    def joined(rows: DataFrame, groups: Sequence[str], rank: Sequence[str], text: str) -> DataFrame:
+        items = F.sort_array(F.collect_list(F.struct(*rank, F.col(text).alias("_text"))))
+        return rows.groupBy(*groups).agg(
+            F.array_join(F.transform(items, lambda i: i["_text"].cast("string")), separator).alias(name)
+        )
+
+    ordinary, hot = split_hot(source, by, hot_rows)
+    lists = joined(ordinary, by, ["_k"], "_v")
+    if hot is None:
+        return lists
+    piece = F.floor(F.col("_n") / F.lit(_PIECE))
+    placed = number_rows(hot, "_n", ["_k", "_v"], by, start=0, hot_rows=hot_rows).withColumn("_piece", piece)
+    pieces = joined(placed, [*by, "_piece"], ["_n"], "_v")
+    return lists.unionByName(joined(pieces.withColumnRenamed(name, "_part_text"), by, ["_piece"], "_part_text"))
 
 
 def rows_to_columns(
@@ -123,9 +153,11 @@ def row_position(df: DataFrame, name: str, order_by: Sequence[str | Column]) ->
     return number_rows(df, name, order_by)
 
 
-def sort_within_groups(df: DataFrame, groups: Sequence[str], order_by: Sequence[str | Column], name: str) -> DataFrame:
+def sort_within_groups(
+    df: DataFrame, groups: Sequence[str], order_by: Sequence[str | Column], name: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Position of every row in its group; large groups are spread over tasks."""
-    return number_rows(df, name, order_by, groups)
+    return number_rows(df, name, order_by, groups, hot_rows=hot_rows)
 
 
 def windowed_counts(df: DataFrame, ts: str, duration: str, slide: str | None, outputs: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,32 +12,61 @@ from rowloom.session import materialize
 
 # monotonically_increasing_id() = partition index << 33 | position in the partition
 _POSITION_BITS = 33
+# rows of one group that a single task may sort
+HOT_ROWS = 1_000_000
 
 
 def as_columns(items: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in items]
 
 
+def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary groups, and rows of groups larger than ``hot_rows`` if there are any.
+
+    Groups are counted by key alone, combined before the exchange. There are at most
+    rows / ``hot_rows`` hot keys; they are written once so that both sides agree on them.
+    """
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = materialize(large.select(*[F.col(f"`{k}`").alias(f"_hot_{i}") for i, k in enumerate(keys)]), "hot-keys")
+    if hot.isEmpty():
+        return df, None
+    match = reduce(lambda a, b: a & b, [df[f"`{k}`"].eqNullSafe(hot[f"_hot_{i}"]) for i, k in enumerate(keys)])
+    return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
+
+
 def number_rows(
     df: DataFrame,
     name: str,
     order_by: Sequence[str | Column] = (),
     group_by: Sequence[str] = (),
     start: int | Column = 1,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the consecutive number of each row, overall or within ``group_by``.
 
-    The rows are range-partitioned on the wanted order and written once with their place
-    in that order. Counts per partition then give each partition its offset, so a group
-    that holds a third of all rows is spread over many tasks. Without an order the rows
-    stay where they are and only the counts move.
+    Ordinary groups are numbered by a window. Larger groups, and the input as a whole, are
+    range-partitioned on the wanted order and written once with their place in it; counts
+    per partition then give each partition its offset. So a group that holds a third of all
+    rows is spread over many tasks. Without an order the rows stay where they are and only
+    the counts move.
+    """
+    if group_by and not order_by:
+        raise ValueError("numbering within groups needs an order")
+    first = start if isinstance(start, Column) else F.lit(start)
+    if not group_by:
+        return _number_all(df, name, order_by, first)
+    ordinary, hot = split_hot(df, group_by, hot_rows)
+    place = F.row_number().over(Window.partitionBy(*group_by).orderBy(*as_columns(order_by)))
+    numbered = ordinary.withColumn(name, (place - 1 + first).cast("bigint"))
+    return numbered if hot is None else numbered.unionByName(_number_ranges(hot, name, order_by, group_by, first))
+
+
+def _placed(df: DataFrame, sort: Sequence[Column]) -> DataFrame:
+    """Rows with the partition (``_part``) and place (``_pos``) they have in the wanted order.
 
     Rows that tie on the order (exact copies, say) are spread by the partition they come
     from, so that a pile of copies does not become one range.
     """
-    if group_by and not order_by:
-        raise ValueError("numbering within groups needs an order")
-    sort = as_columns([*group_by, *order_by])
     placed = df
     if sort:
         placed = (
@@ -46,39 +76,46 @@ def number_rows(
             .drop("_origin")
         )
     placed = materialize(placed.withColumn("_slot", F.monotonically_increasing_id()), "numbered")
-    placed = placed.select(
+    return placed.select(
         *[F.col(f"`{c}`") for c in df.columns],
         F.shiftright("_slot", _POSITION_BITS).alias("_part"),
         F.col("_slot").bitwiseAND((1 << _POSITION_BITS) - 1).alias("_pos"),
     )
-    first = start if isinstance(start, Column) else F.lit(start)
-    if not group_by:
-        # one row per partition, so the unpartitioned window and the broadcast stay small
-        upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = (
-            placed.groupBy("_part")
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .select("_part", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
-        )
-        numbered = placed.join(F.broadcast(offsets), "_part")
-        number = F.col("_pos") + F.col("_before") + first
-    else:
-        # a group has one row here per partition it touches
-        upto = Window.partitionBy(*group_by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        spans = placed.groupBy("_part", *group_by).agg(
-            F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_from")
-        )
-        spans = spans.select(
+
+
+def _number_all(df: DataFrame, name: str, order_by: Sequence[str | Column], first: Column) -> DataFrame:
+    placed = _placed(df, as_columns(order_by))
+    # one row per partition, so the unpartitioned window and the broadcast stay small
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy("_part")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
+    )
+    number = (F.col("_pos") + F.col("_before") + first).cast("bigint")
+    return placed.join(F.broadcast(offsets), "_part").select(*[F.col(f"`{c}`") for c in df.columns], number.alias(name))
+
+
+def _number_ranges(
+    df: DataFrame, name: str, order_by: Sequence[str | Column], group_by: Sequence[str], first: Column
+) -> DataFrame:
+    placed = _placed(df, as_columns([*group_by, *order_by]))
+    # a group has one row here per partition it touches
+    upto = Window.partitionBy(*group_by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (
+        placed.groupBy("_part", *group_by)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_from"))
+        .select(
             F.col("_part").alias("_span_part"),
             *[F.col(f"`{c}`").alias(f"_span_{i}") for i, c in enumerate(group_by)],
             (F.coalesce(F.sum("_n").over(upto), F.lit(0)) - F.col("_from")).alias("_shift"),
         )
-        match = F.col("_part") == F.col("_span_part")
-        for i, c in enumerate(group_by):
-            match = match & F.col(f"`{c}`").eqNullSafe(F.col(f"_span_{i}"))
-        numbered = placed.join(spans, match)
-        number = F.col("_pos") + F.col("_shift") + first
-    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], number.cast("bigint").alias(name))
+    )
+    match = F.col("_part") == F.col("_span_part")
+    for i, c in enumerate(group_by):
+        match = match & F.col(f"`{c}`").eqNullSafe(F.col(f"_span_{i}"))
+    number = (F.col("_pos") + F.col("_shift") + first).cast("bigint")
+    return placed.join(spans, match).select(*[F.col(f"`{c}`") for c in df.columns], number.alias(name))
 
 
 def surrogate_key(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from rowloom import constants as C
 from rowloom.flows import Flows
 from rowloom.operators.aggregate import unique_flows
-from rowloom.operators.shape import holds, row_hash
+from rowloom.operators.shape import holds
 
 COUNT_SCHEMA = "entity string, source_row_count bigint, target_row_count bigint, threshold_pct double"
 
@@ -119,34 +120,29 @@ def diff_rows(
     """State of every key: matched, mismatched, missing or extra.
 
     Both sides go through one aggregation by key, combined before the exchange, in place of
-    an outer join. Rows that share a key are compared as a bag, so repeats are not lost:
-    ``source_rows`` and ``target_rows`` give how often the key occurs.
+    an outer join. Rows that share a key are compared as a bag: two 64-bit hashes per row are
+    added up for the source and taken away for the target. ``source_rows`` and
+    ``target_rows`` give how often the key occurs.
     """
     compare = list(compare) if compare is not None else [c for c in source.columns if c not in keys]
 
-    def side(df: DataFrame, is_source: bool) -> DataFrame:
-        present = [c for c in compare if c in df.columns]
-        absent = [c for c in compare if c not in df.columns]
-        values = df.select(*keys, *present).withColumns({c: F.lit(None).cast("string") for c in absent})
-        return values.select(
-            *keys, row_hash(compare, safe=True).alias("_hash"), F.lit(is_source).alias("_is_source")
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        values = [F.col(f"`{c}`").cast("string") if c in df.columns else F.lit(None).cast("string") for c in compare]
+        # xxhash64 passes over nulls, so each value brings a flag along
+        parts = [p for v in values for p in (v.isNull(), v)]
+        return df.select(
+            *keys,
+            F.lit(sign).alias("_sign"),
+            *[(F.xxhash64(F.lit(seed), *parts).cast("decimal(20,0)") * sign).alias(f"_h{seed}") for seed in (1, 2)],
         )
 
-    both = side(source, True).unionByName(side(target, False))
-    number = F.xxhash64("_hash").cast("decimal(38,0)")
-    of_source, of_target = F.col("_is_source"), ~F.col("_is_source")
-    grouped = both.groupBy(*keys).agg(
-        F.count_if(of_source).alias("source_rows"),
-        F.count_if(of_target).alias("target_rows"),
-        *[
-            f(F.when(flag, value)).alias(f"_{side_name}_{n}")
-            for side_name, flag in (("s", of_source), ("t", of_target))
-            for n, f, value in (("min", F.min, F.col("_hash")), ("max", F.max, F.col("_hash")), ("sum", F.sum, number))
-        ],
-    )
-    same = (F.col("source_rows") == F.col("target_rows")) & reduce(
-        lambda a, b: a & b, [F.col(f"_s_{n}") == F.col(f"_t_{n}") for n in ("min", "max", "sum")]
+    grouped = side(source, 1).unionByName(side(target, -1)).groupBy(*keys).agg(
+        F.count_if(F.col("_sign") == 1).alias("source_rows"),
+        F.count_if(F.col("_sign") == -1).alias("target_rows"),
+        F.sum("_h1").alias("_d1"),
+        F.sum("_h2").alias("_d2"),
     )
+    same = (F.col("source_rows") == F.col("target_rows")) & (F.col("_d1") == 0) & (F.col("_d2") == 0)
     state = (
         F.when(F.col("target_rows") == 0, "missing")
         .when(F.col("source_rows") == 0, "extra")
@@ -157,11 +153,8 @@ def diff_rows(
 
 
 def diff_summary(rows: DataFrame, entity: str, keys: Sequence[str], samples: int = 10) -> DataFrame:
-    """One row with the counts and the verdict; extra keys do not fail it.
-
-    Sample keys are the first few in key order; ``min_by`` style picking keeps the
-    aggregation small.
-    """
+    """One row with the counts and the verdict; extra keys do not fail it. Sample keys are
+    the first few in text order."""
     n = F.count(F.lit(1))
     key = F.to_json(F.struct(*keys))
     counts = rows.agg(
@@ -217,7 +210,9 @@ def schema_rows(spark: SparkSession, columns: T.StructType | Sequence[Mapping[st
         rows = [(f.name, f.dataType.simpleString()) for f in columns]
     else:
         rows = [(str(c["name"]), str(c.get("type", ""))) for c in columns]
-    return spark.createDataFrame(rows, "name string, type string")
+    names, types = zip(*rows) if rows else ((), ())
+    table = pa.table({"name": pa.array(names, pa.string()), "type": pa.array(types, pa.string())})
+    return spark.createDataFrame(table)
 
 
 def compare_schemas(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -21,13 +21,14 @@ def test_without_order_every_number_once_and_no_exchange_of_rows(spark):
     assert sorted(r.n for r in number_rows(df, "n").collect()) == list(range(1, 501))
 
 
-def test_hot_group_and_copies(spark):
+@pytest.mark.parametrize("hot_rows", [1, 500, 10**6])
+def test_hot_group_and_copies(spark, hot_rows):
     # one group holds most rows, many of them exact copies, and there is a null group
     df = spark.range(0, 6000, 1, 8).select(
         F.when(F.col("id") % 3 > 0, F.lit("hot")).when(F.col("id") % 9 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("g"),
         (F.col("id") % 5).alias("v"),
     )
-    numbered = number_rows(df, "n", ["v"], ["g"])
+    numbered = number_rows(df, "n", ["v"], ["g"], hot_rows=hot_rows)
     for group, items in _by_group(numbered).items():
         assert sorted(n for _, n in items) == list(range(1, len(items) + 1)), group
         assert [v for v, _ in sorted(items, key=lambda i: i[1])] == sorted(v for v, _ in items), group

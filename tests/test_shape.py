@@ -97,9 +97,10 @@ def test_samples_repeat(spark, rows):
     assert S.sample_rows(df, 25, ["id"]).count() == 25
 
 
-def test_unique_flows_are_the_input(spark, rows):
+@pytest.mark.parametrize("hot_rows", [50, 10**6])
+def test_unique_flows_are_the_input(spark, rows, hot_rows):
     df = spark.range(0, 900, 1, 6).selectExpr("if(id % 3 = 0, 0, id) as k", "id % 4 as v")
-    flows = A.unique_flows(df, ["k"], ["v"])
+    flows = A.unique_flows(df, ["k"], ["v"], hot_rows=hot_rows)
     assert rows(flows.accepted.union(flows.rejected)) == rows(df)
     assert flows.accepted.count() == df.select("k").distinct().count()
 
@@ -132,3 +133,11 @@ def test_staged_code_per_partition(spark):
 def test_replicate(df, rows):
     out = S.replicate(df, {"a": lambda d: d.filter("id = 1"), "b": lambda d: d.select("id")})
     assert out["a"].count() == 1 and out["b"].count() == 3
+
+
+@pytest.mark.parametrize("hot_rows", [10, 10**6])
+def test_joined_list_of_a_hot_group(spark, hot_rows, monkeypatch):
+    monkeypatch.setattr(A, "_PIECE", 7)
+    df = spark.range(0, 300, 1, 5).selectExpr("if(id % 3 = 0, 'hot', string(id)) as g", "299 - id as k", "id as v")
+    got = {r.g: r.text for r in A.joined_list(df, ["g"], "v", "text", "|", order_by="k", hot_rows=hot_rows).collect()}
+    assert got["hot"] == "|".join(str(i) for i in range(297, -1, -3)) and got["1"] == "1" and len(got) == 201
