@@ -39,33 +39,51 @@ def _all_set(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
 
 
+def with_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return source.filter(_all_set(keys))
+
+
+def without_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with a null in the key: they match nothing and never compete for a key."""
+    return source.filter(~_all_set(keys))
+
+
 def one_row_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None) -> DataFrame:
-    """Source rows with at most one per key.
+    """Source rows that have a key, one per key.
 
     With an order the first row wins. Without one a repeated key fails the job, because
-    which row would win is undefined. Rows with a null key match nothing and stay as they are.
+    which row would win is undefined. Either way the rows end up partitioned and sorted by
+    key, which the merge join that follows can use as it is.
     """
+    keyed = with_key(source, keys)
     if order_by:
-        keyed = source.filter(_all_set(keys))
-        return first_per_key(keyed, keys, order_by).unionByName(source.filter(~_all_set(keys)))
+        return first_per_key(keyed, keys, order_by)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     key = F.to_json(F.struct(*keys))
     single = F.when(F.col("_place") == 1, True).otherwise(
         F.raise_error(F.concat(F.lit("several source rows for key "), key)).cast("boolean")
     )
-    # hash-partitioned and sorted by key, which the merge join that follows can use as it is
-    checked = source.filter(_all_set(keys)).withColumn("_place", place).filter(single).drop("_place")
-    return checked.unionByName(source.filter(~_all_set(keys)))
-
-
-def _updated(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """All target rows; matched ones with the source values of ``columns``."""
+    return keyed.withColumn("_place", place).filter(single).drop("_place")
+
+
+def _updated(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    remove: Column | None = None,
+) -> DataFrame:
+    """All target rows; matched ones with the source values of ``columns``, or left out
+    where ``remove`` holds for the source row."""
+    removed = F.lit(False) if remove is None else F.coalesce(remove, F.lit(False))
     new = source.select(
         *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.struct(F.lit(True).alias("_hit"), *[F.col(f"`{c}`") for c in columns]).alias("_new"),
+        F.struct(removed.alias("_removed"), *[F.col(f"`{c}`") for c in columns]).alias("_new"),
     )
     match = reduce(lambda a, b: a & b, [target[f"`{k}`"] == new[f"_k{i}"] for i, k in enumerate(keys)])
     joined = target.join(new, match, "left")
+    if remove is not None:
+        joined = joined.filter(F.col("_new").isNull() | ~F.col("_new._removed"))
     return joined.select(
         *[
             F.when(F.col("_new").isNotNull(), F.col(f"_new.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c)
@@ -80,11 +98,12 @@ def _unmatched(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFr
     return rows.join(other.select(*keys), list(keys), "left_anti").select(*rows.columns)
 
 
-def _new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows the target lacks. Target keys are first cut to those in the source, which
-    needs no exchange of the target when the source is small."""
+def _new_rows(source: DataFrame, single: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows the target lacks: the ``single`` ones without a match and those without a
+    key. Target keys are first cut to those in the source, which needs no exchange of the
+    target when the source is small."""
     known = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
-    return _unmatched(source, known, keys)
+    return _unmatched(single, known, keys).unionByName(without_key(source, keys))
 
 
 def _check_columns(target: DataFrame, source: DataFrame) -> None:
@@ -99,15 +118,15 @@ def insert(target: DataFrame, source: DataFrame) -> DataFrame:
 
 def update(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by=None) -> DataFrame:
     _check_columns(target, source)
-    source = one_row_per_key(source, keys, order_by)
-    return _updated(target, source, keys, [c for c in source.columns if c not in keys])
+    single = one_row_per_key(source, keys, order_by)
+    return _updated(target, single, keys, [c for c in source.columns if c not in keys])
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by=None) -> DataFrame:
     _check_columns(target, source)
-    source = one_row_per_key(source, keys, order_by)
-    changed = _updated(target, source, keys, [c for c in source.columns if c not in keys])
-    return changed.unionByName(_new_rows(source, target, keys))
+    single = one_row_per_key(source, keys, order_by)
+    changed = _updated(target, single, keys, [c for c in source.columns if c not in keys])
+    return changed.unionByName(_new_rows(source, single, target, keys))
 
 
 def delete(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -125,9 +144,9 @@ def scd1(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by=Non
     extra = sorted(set(source.columns) - set(target.columns))
     if extra:
         raise ValueError(f"target lacks columns {extra}")
-    source = one_row_per_key(source, keys, order_by)
-    changed = _updated(target, source, keys, [c for c in source.columns if c not in keys])
-    return changed.unionByName(_new_rows(source, target, keys), allowMissingColumns=True)
+    single = one_row_per_key(source, keys, order_by)
+    changed = _updated(target, single, keys, [c for c in source.columns if c not in keys])
+    return changed.unionByName(_new_rows(source, single, target, keys), allowMissingColumns=True)
 
 
 def apply_action(target: DataFrame | None, source: DataFrame, keys: Sequence[str], action: str, order_by=None) -> DataFrame:
@@ -138,7 +157,9 @@ def apply_action(target: DataFrame | None, source: DataFrame, keys: Sequence[str
     if target is None:
         if name in ("update", "delete"):
             return source.limit(0)
-        return source if name in ("insert", "delete_insert") else one_row_per_key(source, keys, order_by)
+        if name in ("insert", "delete_insert"):
+            return source
+        return one_row_per_key(source, keys, order_by).unionByName(without_key(source, keys))
     if name == "insert":
         return insert(target, source)
     if name == "update":
@@ -151,9 +172,11 @@ def apply_action(target: DataFrame | None, source: DataFrame, keys: Sequence[str
 
 
 def apply_deletes(target: DataFrame, source: DataFrame, keys: Sequence[str], deleted: str | Column, order_by=None) -> DataFrame:
-    """Upsert the live source rows and remove the keys flagged as deleted."""
+    """Upsert the live source rows and remove the keys flagged as deleted, in one join."""
     flag = F.coalesce(F.col(deleted) if isinstance(deleted, str) else deleted, F.lit(False))
-    source = one_row_per_key(source, keys, order_by)
-    drop = [deleted] if isinstance(deleted, str) and deleted not in target.columns else []
-    live = source.filter(~flag).drop(*drop)
-    return upsert(delete(target, source.filter(flag), keys), live, keys)
+    single = one_row_per_key(source, keys, order_by)
+    columns = [c for c in target.columns if c not in keys]
+    changed = _updated(target, single, keys, columns, remove=flag)
+    live = source.filter(~flag)
+    fresh = _new_rows(live, single.filter(~flag), target, keys)
+    return changed.unionByName(fresh.select(*target.columns))

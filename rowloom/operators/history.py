@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom import constants as C
-from rowloom.operators.change import one_row_per_key
+from rowloom.operators.change import one_row_per_key, without_key
 from rowloom.operators.keys import surrogate_key
 from rowloom.operators.shape import row_hash
 
@@ -36,9 +36,9 @@ def scd2(
     ``now``; changed and new source rows open a version that ends in 9999. A key closed
     earlier comes back as new. Each comparison joins one side only by key and hash.
     """
-    source = one_row_per_key(source, [key], order_by)
     tracked = list(tracked) or [c for c in source.columns if c != key]
-    source = source.withColumn(C.ROW_HASH, row_hash(tracked))
+    keyless = without_key(source, [key]).withColumn(C.ROW_HASH, row_hash(tracked))
+    source = one_row_per_key(source, [key], order_by).withColumn(C.ROW_HASH, row_hash(tracked))
     opened = source
     if dimension is not None:
         known = dimension.filter(C.IS_CURRENT).select(
@@ -49,7 +49,7 @@ def scd2(
             .filter(F.col("_known_key").isNull() | (F.col(C.ROW_HASH) != F.col("_known_hash")))
             .select(*source.columns)
         )
-    opened = opened.withColumns(
+    opened = opened.unionByName(keyless).withColumns(
         {
             C.VALID_FROM: _timestamp(now),
             C.VALID_TO: _timestamp(C.OPEN_END),

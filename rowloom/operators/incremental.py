@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom import constants as C
-from rowloom.operators.change import apply_action, upsert
+from rowloom.operators.change import apply_action
+from rowloom.operators.keys import first_per_key
 from rowloom.operators.shape import audit_columns
 
 
@@ -73,7 +74,8 @@ def watermark_load(
     newest = newest.select(
         F.lit(name).alias("table_name"), "last_watermark", F.lit(now).cast("timestamp_ntz").alias("updated_at")
     )
-    return Load(new_target, upsert(control, newest, ["table_name"]), changes)
+    both = control.withColumn("_new", F.lit(0)).unionByName(newest.withColumn("_new", F.lit(1)))
+    return Load(new_target, first_per_key(both, ["table_name"], [F.desc("_new")]).drop("_new"), changes)
 
 
 def target_max_load(

@@ -14,6 +14,7 @@ from rowloom import constants as C
 from rowloom.flows import Flows
 from rowloom.operators.aggregate import unique_flows
 from rowloom.operators.shape import holds
+from rowloom.session import materialize
 
 COUNT_SCHEMA = "entity string, source_row_count bigint, target_row_count bigint, threshold_pct double"
 
@@ -185,7 +186,7 @@ def sample_pair(
 ) -> tuple[DataFrame, DataFrame]:
     """``n`` source rows picked by key hash and the target rows with those keys."""
     order = F.xxhash64(F.lit(seed), *keys)
-    chosen = source.orderBy(order, *keys).limit(n)
+    chosen = materialize(source.orderBy(order, *keys).limit(n), "sample")
     return chosen, target.join(chosen.select(*keys), list(keys), "left_semi")
 
 
