@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowloom.operators.keys import first_per_key
+from rowloom.operators.keys import apart, first_per_key
 
 # Accepted action names.
 ACTIONS = {
@@ -52,8 +52,7 @@ def one_row_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[s
     """Source rows that have a key, one per key.
 
     With an order the first row wins. Without one a repeated key fails the job, because
-    which row would win is undefined. Either way the rows end up partitioned and sorted by
-    key, which the merge join that follows can use as it is.
+    which row would win is undefined.
     """
     keyed = with_key(source, keys)
     if order_by:
@@ -77,7 +76,7 @@ def _updated(
     where ``remove`` holds for the source row."""
     removed = F.lit(False) if remove is None else F.coalesce(remove, F.lit(False))
     new = source.select(
-        *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)],
+        *[apart(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.struct(removed.alias("_removed"), *[F.col(f"`{c}`") for c in columns]).alias("_new"),
     )
     match = reduce(lambda a, b: a & b, [target[f"`{k}`"] == new[f"_k{i}"] for i, k in enumerate(keys)])
@@ -149,11 +148,15 @@ def scd1(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by=Non
     return changed.unionByName(_new_rows(source, single, target, keys), allowMissingColumns=True)
 
 
+def action_name(action: str) -> str:
+    if action.upper() not in ACTIONS:
+        raise ValueError(f"unknown action {action!r}, use one of {sorted(ACTIONS)}")
+    return ACTIONS[action.upper()]
+
+
 def apply_action(target: DataFrame | None, source: DataFrame, keys: Sequence[str], action: str, order_by=None) -> DataFrame:
     """Run the named action (any case). Without a target the source becomes the target."""
-    name = ACTIONS.get(action.upper())
-    if name is None:
-        raise ValueError(f"unknown action {action!r}, use one of {sorted(ACTIONS)}")
+    name = action_name(action)
     if target is None:
         if name in ("update", "delete"):
             return source.limit(0)

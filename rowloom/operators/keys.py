@@ -20,6 +20,18 @@ def as_columns(items: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in items]
 
 
+def apart(column: Column | str) -> Column:
+    """The same value, as a join key that needs an exchange of its own.
+
+    Rows from a grouping or window are already partitioned by its key, and a join on that key
+    would take them as they are. But adaptive execution splits a hot key of the other side, or
+    turns to a broadcast, only where both sides come straight from an exchange. Spark does not
+    see through ``greatest``, so the grouped (and by then small) side is exchanged once more.
+    """
+    column = F.col(f"`{column}`") if isinstance(column, str) else column
+    return F.greatest(column, column)
+
+
 def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary groups, and rows of groups larger than ``hot_rows`` if there are any.
 

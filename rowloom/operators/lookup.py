@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom.flows import Flows
-from rowloom.operators.keys import first_per_key
+from rowloom.operators.keys import apart, first_per_key
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -74,9 +74,10 @@ def lookup(
     if match not in ("first", "all"):
         raise ValueError(f"match must be first or all, not {match!r}")
     keys = list(on.values())
-    side = first_per_key(table, keys, order_by) if match == "first" else table
+    first = match == "first"
+    side = first_per_key(table, keys, order_by) if first else table
     side = side.select(
-        *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)],
+        *[(apart(k) if first else F.col(k)).alias(f"_key_{i}") for i, k in enumerate(keys)],
         *[F.col(c).alias(prefix + c) for c in table.columns if c not in keys],
     )
     if broadcast:
@@ -99,8 +100,18 @@ def lookup_chain(main: DataFrame, lookups: Sequence[Lookup], broadcast: bool = F
 
 
 def equi_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str = "inner") -> DataFrame:
-    """Plain join on differently named keys: inner, left, right, full, left_semi, left_anti."""
-    return left.join(right, _condition(left, right, on), how)
+    """Join on differently named keys: inner, left, right, full, left_semi, left_anti.
+
+    Spark cannot split a hot key of a full join, so that is done as a left join and the right
+    rows without a match, which it can split both.
+    """
+    if how not in ("full", "outer", "full_outer"):
+        return left.join(right, _condition(left, right, on), how)
+    known = left.select(*on).distinct()
+    known = known.select(*[apart(m).alias(f"_key_{i}") for i, m in enumerate(on)])
+    unmatched = {f"_key_{i}": k for i, k in enumerate(on.values())}
+    alone = right.join(known, _condition(known, right, unmatched), "left_anti")
+    return left.join(right, _condition(left, right, on), "left").unionByName(alone, allowMissingColumns=True)
 
 
 def semi_by_keys(df: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.operators.keys import first_per_key
+from rowloom.operators.keys import apart, first_per_key
 from rowloom.session import materialize
 
 
@@ -54,7 +54,7 @@ def fuzzy_lookup(
     null when none is near enough. Ties go to the first value in text order."""
     pairs = similar_values(main, table, main_col, table_col, max_distance)
     best = first_per_key(pairs, ["left_value"], ["distance", *order_by, "right_value"]).select(
-        F.col("left_value").alias("_value"),
+        apart("left_value").alias("_value"),
         F.col("right_value").alias("match_value"),
         F.col("distance").alias("match_distance"),
     )
@@ -90,7 +90,7 @@ def _fingerprint(pairs: DataFrame) -> tuple:
 def _large_star(pairs: DataFrame) -> DataFrame:
     """Link each larger neighbour of a node to the least of the node and its neighbours."""
     both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select(apart("u").alias("u"), F.least("u", "m").alias("m"))
     linked = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return linked.filter("u <> v").distinct()
 
@@ -98,7 +98,7 @@ def _large_star(pairs: DataFrame) -> DataFrame:
 def _small_star(pairs: DataFrame) -> DataFrame:
     """Link each smaller neighbour of a node, and the node, to the least of them."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-    linked = pairs.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    linked = pairs.join(least.select(apart("u").alias("u"), "m"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = least.select("u", F.col("m").alias("v"))
     return linked.unionByName(own).filter("u <> v").distinct()
 
@@ -108,7 +108,7 @@ def match_groups(df: DataFrame, column: str, max_distance: int, group: str = "ma
     through others. Rows without a value have no group."""
     pairs = similar_values(df, df, column, column, max_distance)
     groups = connected_groups(pairs, "left_value", "right_value")
-    groups = groups.select(F.col("node").alias("_node"), F.col("group").alias(group))
+    groups = groups.select(apart("node").alias("_node"), F.col("group").alias(group))
     return df.join(groups, df[column] == groups["_node"], "left").drop("_node")
 
 

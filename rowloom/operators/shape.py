@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from rowloom import constants as C
 from rowloom.flows import Flows
+from rowloom.operators.keys import apart
 
 
 def _expr(value: Column | str) -> Column:
@@ -244,6 +245,7 @@ def standardize(df: DataFrame, column: str, reference: DataFrame, variant: str,
         return F.upper(F.trim(F.col(c)))
 
     pairs = reference.groupBy(norm(variant).alias("_variant")).agg(F.min(standard).alias("_standard"))
+    pairs = pairs.select(apart("_variant").alias("_variant"), "_standard")
     joined = df.withColumn("_lookup", norm(column)).join(pairs, F.col("_lookup") == F.col("_variant"), "left")
     return joined.withColumn(column, F.coalesce("_standard", F.col(column))).drop("_lookup", "_variant", "_standard")
 

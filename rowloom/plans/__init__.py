@@ -11,6 +11,7 @@ from rowloom.plans import (  # noqa: F401
     rowcodes,
     shapes,
     streams,
+    tables,
 )
 from rowloom.plans.registry import QUERIES, SQL, TABLES
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.operators.change import apply_action
+from rowloom.operators.change import action_name, apply_action, one_row_per_key, without_key
 from rowloom.session import materialize
 
+# Table formats that support MERGE.
+ROW_LEVEL_FORMATS = ("delta", "iceberg", "hudi")
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -61,9 +64,13 @@ def save_table(
     format: str = "parquet",
     merge_schema: bool = True,
     bucket_by: tuple[int, Sequence[str]] | None = None,
+    path: str | None = None,
 ) -> None:
-    """Write a managed table. Buckets on the join key spare later joins their exchange."""
+    """Write a table, managed or at a path. Buckets on the join key spare later joins their
+    exchange."""
     writer = df.write.format(format).mode(mode)
+    if path:
+        writer = writer.option("path", path)
     if merge_schema:
         writer = writer.option("mergeSchema", "true")
     if partition_by:
@@ -100,6 +107,27 @@ def run_statement(spark: SparkSession, statement: str, parameters: Mapping[str,
     return read_sql(spark, statement, parameters, **views)
 
 
+def _provider(spark: SparkSession, name: str) -> str:
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Provider'").first()
+    return row["data_type"].lower() if row else ""
+
+
+def _merge_rows(name: str, source: DataFrame, keys: Sequence[str], action: str) -> None:
+    """MERGE on a table format that has it: only the files with matches are rewritten."""
+    source = source.alias("source")
+    match = reduce(lambda a, b: a & b, [F.col(f"source.`{k}`") == F.expr(f"{name}.`{k}`") for k in keys])
+    merge = source.mergeInto(name, match)
+    if action in ("update", "upsert"):
+        merge = merge.whenMatched().updateAll()
+    if action == "upsert":
+        merge = merge.whenNotMatched().insertAll()
+    if action in ("delete", "delete_insert"):
+        merge = merge.whenMatched().delete()
+    merge.merge()
+    if action == "delete_insert":
+        insert_into(source, name)
+
+
 def merge_table(
     spark: SparkSession,
     name: str,
@@ -108,38 +136,46 @@ def merge_table(
     action: str = "UPSERT",
     partition_by: str | None = None,
     order_by: Sequence[str | Column] | None = None,
+    path: str | None = None,
 ) -> None:
     """Apply an action to a table in place; a missing table is created.
 
-    Plain files have no MERGE, so the new state is computed, written to the shared folder
-    and then put in place. For a table partitioned by one column only the partitions that
-    hold matching keys or receive rows are read in full and rewritten.
+    Formats with row-level operations run a MERGE. Plain files have none, so the new state
+    is computed, written to the shared folder and then put in place. For a table partitioned
+    by one column only the partitions that hold matching keys or receive rows are read in
+    full and rewritten.
     """
     if not spark.catalog.tableExists(name):
-        save_table(apply_action(None, source, keys, action, order_by), name, "overwrite",
-                   [partition_by] if partition_by else ())
+        parts = [partition_by] if partition_by else ()
+        save_table(apply_action(None, source, keys, action, order_by), name, "overwrite", parts, path=path)
         return
     target = spark.read.table(name)
-    if action.upper() == "INSERT":
+    kind = action_name(action)
+    if kind == "insert":
         insert_into(source, name)
         return
+    if _provider(spark, name) in ROW_LEVEL_FORMATS:
+        single = source if kind in ("delete", "delete_insert") else (
+            one_row_per_key(source, keys, order_by).unionByName(without_key(source, keys))
+        )
+        _merge_rows(name, single, keys, kind)
+        return
     if partition_by is None:
         state = materialize(apply_action(target, source, keys, action, order_by), "merged")
-        state.select(*target.columns).write.mode("overwrite").insertInto(name, overwrite=True)
+        state.select(*target.columns).write.insertInto(name, overwrite=True)
         return
     matching = target.select(*keys, partition_by).join(source.select(*keys), list(keys), "left_semi").select(partition_by)
-    receiving = source.select(partition_by) if action.upper() != "DELETE" else source.select(partition_by).limit(0)
+    touching = matching if kind == "delete" else matching.unionByName(source.select(partition_by))
     # partition values are directory names: a list the driver holds for any table
-    touched = [r[0] for r in matching.unionByName(receiving).distinct().collect()]
+    touched = [r[0] for r in touching.distinct().collect()]
     if not touched:
         return
     column = F.col(partition_by)
-    values = [v for v in touched if v is not None]
-    inside = column.isin(*values) | (column.isNull() if None in touched else F.lit(False))
+    inside = column.isin(*[v for v in touched if v is not None]) | (column.isNull() & F.lit(None in touched))
     state = materialize(apply_action(target.filter(inside), source, keys, action, order_by), "merged")
     filled = {r[0] for r in state.select(partition_by).distinct().collect()}
     insert_into(state, name, overwrite_partitions=True)
     for value in touched:
         if value not in filled:
-            literal = "'__HIVE_DEFAULT_PARTITION__'" if value is None else "'" + str(value).replace("'", "\\'") + "'"
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{partition_by}`={literal})")
+            text = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value).replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{partition_by}`='{text}')")

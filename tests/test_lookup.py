@@ -1,6 +1,6 @@
 import pytest
 
-from rowloom.operators.lookup import Lookup, broadcast_if_small, lookup, lookup_chain
+from rowloom.operators.lookup import Lookup, broadcast_if_small, equi_join, lookup, lookup_chain
 
 
 @pytest.fixture
@@ -68,3 +68,10 @@ def test_hot_key_on_both_sides_stays_whole(spark):
     flows = lookup(main, table, {"k": "k"}, order_by=["v"])
     assert flows.accepted.count() == 3000
     assert flows.accepted.filter("k = 0").select("lkp1_v").distinct().collect()[0][0] == 0
+
+
+def test_full_join_keeps_both_sides(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "n")], "k int, l string")
+    right = spark.createDataFrame([(1, "x"), (3, "y"), (None, "z")], "j int, r string")
+    got = equi_join(left, right, {"k": "j"}, "full")
+    assert rows(got) == rows(left.join(right, left.k == right.j, "full"))
