@@ -10,7 +10,8 @@ Every function computes the new target as a DataFrame. With T the target and S t
 
 Matches use plain equality, so a null key matches nothing. The target is the left side of
 an outer join: Spark broadcasts a small source and then does not move the target at all;
-otherwise adaptive execution may split a hot key of the target.
+otherwise adaptive execution may split a hot key of the target, which it cannot do in a full
+join. Looking for rows to insert reads only the keys of the target.
 """
 
 from __future__ import annotations
@@ -18,11 +19,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.operators.keys import apart, first_per_key
 
+# rows up to which a source counts as small
+SMALL_SOURCE = 1_000_000
+
 # Accepted action names.
 ACTIONS = {
     "INSERT": "insert",
@@ -51,58 +55,83 @@ def without_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 def one_row_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None) -> DataFrame:
     """Source rows that have a key, one per key.
 
-    With an order the first row wins. Without one a repeated key fails the job, because
-    which row would win is undefined.
+    With an order the first row wins. Without one a repeated key is an error, because which
+    row would win is undefined; one job over the key columns looks for it.
     """
     keyed = with_key(source, keys)
     if order_by:
         return first_per_key(keyed, keys, order_by)
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    key = F.to_json(F.struct(*keys))
-    single = F.when(F.col("_place") == 1, True).otherwise(
-        F.raise_error(F.concat(F.lit("several source rows for key "), key)).cast("boolean")
-    )
-    return keyed.withColumn("_place", place).filter(single).drop("_place")
-
-
-def _updated(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    columns: Sequence[str],
-    remove: Column | None = None,
-) -> DataFrame:
-    """All target rows; matched ones with the source values of ``columns``, or left out
-    where ``remove`` holds for the source row."""
-    removed = F.lit(False) if remove is None else F.coalesce(remove, F.lit(False))
-    new = source.select(
-        *[apart(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.struct(removed.alias("_removed"), *[F.col(f"`{c}`") for c in columns]).alias("_new"),
-    )
-    match = reduce(lambda a, b: a & b, [target[f"`{k}`"] == new[f"_k{i}"] for i, k in enumerate(keys)])
-    joined = target.join(new, match, "left")
-    if remove is not None:
-        joined = joined.filter(F.col("_new").isNull() | ~F.col("_new._removed"))
-    return joined.select(
-        *[
-            F.when(F.col("_new").isNotNull(), F.col(f"_new.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c)
-            if c in columns
-            else F.col(f"`{c}`")
-            for c in target.columns
-        ]
-    )
+    repeated = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n").first()
+    if repeated is not None:
+        raise ValueError(f"several source rows for key {repeated.asDict()}; give an order to choose one")
+    return keyed
 
 
-def _unmatched(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.join(other.select(*keys), list(keys), "left_anti").select(*rows.columns)
+class _Changes:
+    """Source rows made ready for both joins of a merge.
+
+    The joins take the same columns in the same order, so that Spark can use one exchange of
+    the source for both.
+    """
+
+    def __init__(
+        self,
+        source: DataFrame,
+        keys: Sequence[str],
+        order_by: Sequence[str | Column] | None = None,
+        columns: Sequence[str] | None = None,
+        removed: Column | None = None,
+    ) -> None:
+        self.source, self.keys = source, list(keys)
+        self.columns = list(columns) if columns is not None else [c for c in source.columns if c not in keys]
+        self.removed = None if removed is None else F.coalesce(removed, F.lit(False))
+        single = one_row_per_key(source, keys, order_by)
+        self.rows = single.select(
+            *[apart(k).alias(f"_k{i}") for i, k in enumerate(self.keys)],
+            *[F.col(f"`{c}`").alias(f"_n{i}") for i, c in enumerate(self.columns)],
+            *([] if self.removed is None else [self.removed.alias("_removed")]),
+        )
+
+    def _match(self, other: DataFrame) -> Column:
+        return reduce(lambda a, b: a & b, [other[f"`{k}`"] == self.rows[f"_k{i}"] for i, k in enumerate(self.keys)])
+
+    def updated(self, target: DataFrame) -> DataFrame:
+        """All target rows; matched ones with the source values, or gone where removed."""
+        joined = target.join(self.rows, self._match(target), "left")
+        if self.removed is not None:
+            joined = joined.filter(~F.coalesce(F.col("_removed"), F.lit(False)))
+        value = {c: F.col(f"_n{i}") for i, c in enumerate(self.columns)}
+        hit = F.col("_k0").isNotNull()
+        return joined.select(
+            *[
+                F.when(hit, value[c]).otherwise(F.col(f"`{c}`")).alias(c) if c in value else F.col(f"`{c}`")
+                for c in target.columns
+            ]
+        )
+
+    def inserted(self, target: DataFrame) -> DataFrame:
+        """Source rows the target lacks, and those without a key.
+
+        For a small source the target keys are first cut to those in it, which moves none
+        of the target. For a large one they are made distinct.
+        """
+        known = target.select(*[F.col(f"`{k}`") for k in self.keys])
+        if self.source.limit(SMALL_SOURCE + 1).count() <= SMALL_SOURCE:
+            known = known.join(with_key(self.source, self.keys).select(*self.keys), self.keys, "left_semi")
+        known = known.distinct()
+        fresh = self.rows.join(known, self._match(known), "left_anti")
+        keyless = without_key(self.source, self.keys)
+        if self.removed is not None:
+            fresh, keyless = fresh.filter(~F.col("_removed")), keyless.filter(~self.removed)
+        names = [*self.keys, *self.columns]
+        return fresh.select(
+            *[F.col(f"_k{i}").alias(k) for i, k in enumerate(self.keys)],
+            *[F.col(f"_n{i}").alias(c) for i, c in enumerate(self.columns)],
+        ).unionByName(keyless.select(*[F.col(f"`{c}`") for c in names]))
 
 
-def _new_rows(source: DataFrame, single: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows the target lacks: the ``single`` ones without a match and those without a
-    key. Target keys are first cut to those in the source, which needs no exchange of the
-    target when the source is small."""
-    known = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
-    return _unmatched(single, known, keys).unionByName(without_key(source, keys))
+def _unmatched(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.join(other.select(*keys), list(keys), "left_anti").select(*rows.columns)
 
 
 def _check_columns(target: DataFrame, source: DataFrame) -> None:
@@ -117,15 +146,13 @@ def insert(target: DataFrame, source: DataFrame) -> DataFrame:
 
 def update(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by=None) -> DataFrame:
     _check_columns(target, source)
-    single = one_row_per_key(source, keys, order_by)
-    return _updated(target, single, keys, [c for c in source.columns if c not in keys])
+    return _Changes(source, keys, order_by).updated(target)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by=None) -> DataFrame:
     _check_columns(target, source)
-    single = one_row_per_key(source, keys, order_by)
-    changed = _updated(target, single, keys, [c for c in source.columns if c not in keys])
-    return changed.unionByName(_new_rows(source, single, target, keys))
+    changes = _Changes(source, keys, order_by)
+    return changes.updated(target).unionByName(changes.inserted(target))
 
 
 def delete(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -143,9 +170,8 @@ def scd1(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by=Non
     extra = sorted(set(source.columns) - set(target.columns))
     if extra:
         raise ValueError(f"target lacks columns {extra}")
-    single = one_row_per_key(source, keys, order_by)
-    changed = _updated(target, single, keys, [c for c in source.columns if c not in keys])
-    return changed.unionByName(_new_rows(source, single, target, keys), allowMissingColumns=True)
+    changes = _Changes(source, keys, order_by)
+    return changes.updated(target).unionByName(changes.inserted(target), allowMissingColumns=True)
 
 
 def action_name(action: str) -> str:
@@ -176,10 +202,6 @@ def apply_action(target: DataFrame | None, source: DataFrame, keys: Sequence[str
 
 def apply_deletes(target: DataFrame, source: DataFrame, keys: Sequence[str], deleted: str | Column, order_by=None) -> DataFrame:
     """Upsert the live source rows and remove the keys flagged as deleted, in one join."""
-    flag = F.coalesce(F.col(deleted) if isinstance(deleted, str) else deleted, F.lit(False))
-    single = one_row_per_key(source, keys, order_by)
-    columns = [c for c in target.columns if c not in keys]
-    changed = _updated(target, single, keys, columns, remove=flag)
-    live = source.filter(~flag)
-    fresh = _new_rows(live, single.filter(~flag), target, keys)
-    return changed.unionByName(fresh.select(*target.columns))
+    flag = F.col(deleted) if isinstance(deleted, str) else deleted
+    changes = _Changes(source, keys, order_by, [c for c in target.columns if c not in keys], flag)
+    return changes.updated(target).unionByName(changes.inserted(target))
