@@ -61,12 +61,20 @@ def one_row_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[s
     keyed = with_key(source, keys)
     if order_by:
         return first_per_key(keyed, keys, order_by)
-    repeated = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n").first()
-    if repeated is not None:
-        raise ValueError(f"several source rows for key {repeated.asDict()}; give an order to choose one")
+    _check_single(keyed, keys)
     return keyed
 
 
+def _check_single(keyed: DataFrame, keys: Sequence[str]) -> int:
+    """Number of rows; an error when a key repeats."""
+    per_key = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rows, most = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
+    if most > 1:
+        repeated = per_key.filter("_n > 1").drop("_n").first()
+        raise ValueError(f"several source rows for key {repeated.asDict()}; give an order to choose one")
+    return rows
+
+
 class _Changes:
     """Source rows made ready for both joins of a merge.
 
@@ -85,7 +93,9 @@ class _Changes:
         self.source, self.keys = source, list(keys)
         self.columns = list(columns) if columns is not None else [c for c in source.columns if c not in keys]
         self.removed = None if removed is None else F.coalesce(removed, F.lit(False))
-        single = one_row_per_key(source, keys, order_by)
+        keyed = with_key(source, keys)
+        self.size = keyed.count() if order_by else _check_single(keyed, keys)
+        single = first_per_key(keyed, keys, order_by) if order_by else keyed
         self.rows = single.select(
             *[apart(k).alias(f"_k{i}") for i, k in enumerate(self.keys)],
             *[F.col(f"`{c}`").alias(f"_n{i}") for i, c in enumerate(self.columns)],
@@ -116,7 +126,7 @@ class _Changes:
         of the target. For a large one they are made distinct.
         """
         known = target.select(*[F.col(f"`{k}`") for k in self.keys])
-        if self.source.limit(SMALL_SOURCE + 1).count() <= SMALL_SOURCE:
+        if self.size <= SMALL_SOURCE:
             known = known.join(with_key(self.source, self.keys).select(*self.keys), self.keys, "left_semi")
         known = known.distinct()
         fresh = self.rows.join(known, self._match(known), "left_anti")
