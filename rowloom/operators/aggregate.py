@@ -183,7 +183,14 @@ def page_rows(df: DataFrame, offset: int, n: int, order_by: Sequence[str | Colum
 
 
 def random_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    return df.orderBy(F.rand(seed)).limit(n)
+    """Exactly ``n`` rows in random order (all when there are fewer). Draws above a bound that
+    about twice as many rows pass are left out before ordering; that fewer than ``n`` pass
+    has no chance worth counting, thanks to the constant on top."""
+    share = (2 * n + 100) / max(df.count(), 1)
+    drawn = df.withColumn("_draw", F.rand(seed))
+    if share < 1:
+        drawn = drawn.filter(F.col("_draw") <= share)
+    return drawn.orderBy("_draw").limit(n).drop("_draw")
 
 
 def unite(first: DataFrame, *others: DataFrame) -> DataFrame:

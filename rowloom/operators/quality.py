@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from rowloom import constants as C
 from rowloom.flows import Flows
 from rowloom.operators.aggregate import unique_flows
-from rowloom.operators.shape import holds
+from rowloom.operators.shape import holds, sample_rows
 from rowloom.session import materialize
 
 COUNT_SCHEMA = "entity string, source_row_count bigint, target_row_count bigint, threshold_pct double"
@@ -185,8 +185,7 @@ def sample_pair(
     source: DataFrame, target: DataFrame, keys: Sequence[str], n: int = C.DIFF_SAMPLE_SIZE, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
     """``n`` source rows picked by key hash and the target rows with those keys."""
-    order = F.xxhash64(F.lit(seed), *keys)
-    chosen = materialize(source.orderBy(order, *keys).limit(n), "sample")
+    chosen = materialize(sample_rows(source, n, keys, seed), "sample")
     return chosen, target.join(chosen.select(*keys), list(keys), "left_semi")
 
 

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_CONF = "spark.checkpoint.dir"
+# folders made for local sessions that name none
+_local_roots: dict[str, str] = {}
 
 
 def session(app: str = "rowloom", master: str | None = None, **conf) -> SparkSession:
@@ -37,9 +39,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {SCRATCH_CONF} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set(SCRATCH_CONF, root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="run-")
+    return _local_roots[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

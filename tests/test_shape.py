@@ -94,7 +94,16 @@ def test_audit_columns(df):
 def test_samples_repeat(spark, rows):
     df = spark.range(1000)
     assert rows(S.sample_by_key(df, ["id"], 10)) == rows(S.sample_by_key(df.repartition(7), ["id"], 10))
-    assert S.sample_rows(df, 25, ["id"]).count() == 25
+    few = S.sample_rows(df, 25, ["id"])
+    assert few.count() == 25 and rows(few) == rows(S.sample_rows(df.repartition(5), 25, ["id"]))
+    # the bound leaves the same rows as ordering all of them
+    want = df.orderBy(F.xxhash64(F.lit(42), "id"), "id").limit(25)
+    assert rows(few) == rows(want)
+    copies = df.withColumn("k", F.lit(1))
+    assert S.sample_rows(copies, 300, ["k"]).count() == 300
+    assert S.sample_rows(df, 5000, ["id"]).count() == 1000
+    assert A.random_rows(df, 25).count() == 25 and A.random_rows(df, 5000).count() == 1000
+    assert A.random_rows(df, 1).count() == 1
 
 
 @pytest.mark.parametrize("hot_rows", [50, 10**6])
