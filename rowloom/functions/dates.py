@@ -8,6 +8,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rowloom.constants import clock
 from rowloom.functions.nulls import as_col
 
 # Unit names and abbreviations.
@@ -104,7 +105,7 @@ def unit_of(unit: str) -> str:
 
 def now(run_at: dt.datetime | None = None) -> Column:
     """Time of the run: given, so that a run can be repeated, or the clock in UTC."""
-    return F.lit(run_at).cast("timestamp_ntz") if run_at else F.current_timestamp()
+    return clock(run_at) if run_at else F.current_timestamp()
 
 
 def today(run_at: dt.datetime | None = None) -> Column:

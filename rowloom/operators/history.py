@@ -15,7 +15,7 @@ from rowloom.operators.shape import row_hash
 
 
 def _timestamp(value: dt.datetime | Column) -> Column:
-    return value if isinstance(value, Column) else F.lit(value).cast("timestamp_ntz")
+    return value if isinstance(value, Column) else C.clock(value)
 
 
 def scd2(

@@ -72,7 +72,7 @@ def watermark_load(
     new_target = apply_action(target, changes, keys, "UPSERT", order_by)
     newest = changes.agg(F.max(column).cast("string").alias("last_watermark")).filter("last_watermark is not null")
     newest = newest.select(
-        F.lit(name).alias("table_name"), "last_watermark", F.lit(now).cast("timestamp_ntz").alias("updated_at")
+        F.lit(name).alias("table_name"), "last_watermark", C.clock(now).alias("updated_at")
     )
     both = control.withColumn("_new", F.lit(0)).unionByName(newest.withColumn("_new", F.lit(1)))
     return Load(new_target, first_per_key(both, ["table_name"], [F.desc("_new")]).drop("_new"), changes)

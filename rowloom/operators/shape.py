@@ -189,7 +189,7 @@ def xml_paths(df: DataFrame, column: str, paths: Mapping[str, str]) -> DataFrame
 
 def audit_columns(df: DataFrame, source: str, loaded_at: dt.datetime | Column, run_date: bool = True) -> DataFrame:
     """Load time, source name and run date; the time is given so that runs can be repeated."""
-    at = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at).cast("timestamp_ntz")
+    at = loaded_at if isinstance(loaded_at, Column) else C.clock(loaded_at)
     added = {C.LOADED_AT: at, C.SOURCE_NAME: F.lit(source)}
     if run_date:
         added[C.RUN_DATE] = at.cast("date")

@@ -164,7 +164,7 @@ def scd2_rerun(t: Tables) -> DataFrame:
 def _control(t: Tables) -> DataFrame:
     """Control table with the newest date of the target."""
     return _target(t).agg(F.max("o_orderdate").cast("string").alias("last_watermark")).select(
-        F.lit("orders").alias("table_name"), "last_watermark", F.lit(FIRST).cast("timestamp_ntz").alias("updated_at")
+        F.lit("orders").alias("table_name"), "last_watermark", C.clock(FIRST).alias("updated_at")
     )
 
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.constants import clock
 from rowloom.functions import dates as D
 from rowloom.functions import jsonpath as J
 from rowloom.functions import nulls as N
@@ -147,7 +148,7 @@ SELECT event_id, date_diff('year', base, ts) AS years, date_diff('quarter', base
 FROM e
 """)
 def fn_date_diff(t: Tables) -> DataFrame:
-    base = F.lit(dt.datetime(2023, 12, 31, 23, 59, 30)).cast("timestamp_ntz")
+    base = clock(dt.datetime(2023, 12, 31, 23, 59, 30))
     units = {"years": "year", "quarters": "quarter", "months": "mm", "days": "day", "hours": "hh", "minutes": "mi", "seconds": "ss", "weeks": "week"}
     return t.events.select(
         "event_id", *[D.boundaries_between(u, base, "ts").alias(n) for n, u in units.items()], D.days_between(base, "ts").alias("days_only")
@@ -171,7 +172,7 @@ SELECT event_id, CAST(year(ts) AS INTEGER) AS y, CAST(quarter(ts) AS INTEGER) AS
 FROM events
 """)
 def fn_date_part(t: Tables) -> DataFrame:
-    mid = F.lit(dt.datetime(2024, 1, 15)).cast("timestamp_ntz")
+    mid = clock(dt.datetime(2024, 1, 15))
     units = {"y": "yy", "q": "qq", "m": "mm", "d": "dd", "h": "hh", "mi": "mi"}
     return t.events.select(
         "event_id", *[D.part(u, "ts").alias(n) for n, u in units.items()], D.part_name("month", "ts").alias("month_name"),
