@@ -68,9 +68,9 @@ def cases(orders: DataFrame, lines: DataFrame, customers: DataFrame) -> dict:
         for column in lines.columns:
             lines.filter(F.col(column).isNull()).count()
 
-    def full_outer_upsert(rows: DataFrame) -> None:
+    def full_outer_upsert(into: DataFrame, rows: DataFrame) -> None:
         s = rows.select(F.col("o_orderkey").alias("k"), F.struct(*rows.columns).alias("n"))
-        joined = orders.join(s, orders.o_orderkey == s.k, "full")
+        joined = into.join(s, into.o_orderkey == s.k, "full")
         _drain(joined.select(*[F.when(F.col("n").isNotNull(), F.col(f"n.{c}")).otherwise(F.col(c)).alias(c) for c in orders.columns]))
 
     def scd2_naive() -> None:
@@ -105,8 +105,8 @@ def cases(orders: DataFrame, lines: DataFrame, customers: DataFrame) -> dict:
             lambda: _drain(first_per_key(lines, keys, ["l_partkey", "l_suppkey", "l_shipdate"])),
             lambda: _drain(lines.dropDuplicates(keys)),
         ),
-        "upsert_large_source": (lambda: _drain(M.upsert(target, source, ["o_orderkey"])), lambda: full_outer_upsert(source)),
-        "upsert_small_source": (lambda: _drain(M.upsert(orders, daily, ["o_orderkey"])), lambda: full_outer_upsert(daily)),
+        "upsert_large_source": (lambda: _drain(M.upsert(target, source, ["o_orderkey"])), lambda: full_outer_upsert(target, source)),
+        "upsert_small_source": (lambda: _drain(M.upsert(orders, daily, ["o_orderkey"])), lambda: full_outer_upsert(orders, daily)),
         "data_diff": (
             lambda: _drain(Q.diff_summary(Q.diff_rows(orders.select(*compared), changed.select(*compared), ["o_orderkey"]), "o", ["o_orderkey"])),
             lambda: _pandas_diff(orders.select(*compared), changed.select(*compared)),
