@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, langid
+from rowloom.llm import decontaminate, langid, minhash, mixing, pii
 from rowloom.llm.tables import crc_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,20 @@ def query(name: str, sql: str | None = None) -> Callable:
     return register
 
 
+@query("op1_mix_sources")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return taken.select(F.col("row.doc_id").alias("doc_id"), "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+@query("op3_personal_data")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_private(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    base = pii.KINDS[: pii.TERM]
+    count = [F.size(F.filter("spans", pii.of_kind(i))).cast("bigint").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    return found.select(F.col("row.doc_id").alias("doc_id"), *count, F.sha2(pii.listed(F.col("spans"), base), 256).alias("base_sha256"), pii.listed(F.col("spans"), pii.KINDS).alias("spans"))
+
+
 @query("op4_language_id")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -33,6 +47,27 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
+OP5_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest([w[i : i + 3] for i in range(1, greatest(len(w) - 3, 1) + 1)]) AS shingle FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n_shingles FROM s GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 80 * (na.n_shingles + nb.n_shingles - shared)),
+reach AS (SELECT DISTINCT a AS node, a AS other FROM links UNION SELECT reach.node, links.b FROM reach JOIN links ON reach.other = links.a),
+least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n_shingles, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, coalesce(component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least ON least.node = d.doc_id
+"""
+
+
+@query("op5_near_duplicates", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 OP10_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
