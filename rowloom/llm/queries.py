@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, langid, minhash, mixing, pii
+from rowloom.llm import decontaminate, hmm, langid, minhash, mixing, phrases, pii, warc
 from rowloom.llm.tables import crc_of, table
+from rowloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -68,6 +69,52 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS lead FROM p)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS BIGINT) + 1, 1) for i in range(0, 32)], '') AS payload_digest,
+  CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = lead THEN NULL ELSE lead END AS refers_to
+FROM m
+"""
+
+
+@query("op6_web_archives", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    records = warc.read_archives(spark, path, with_payload=False)
+    return records.select(F.col("id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
+@query("op8_hidden_markov")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.pmod(crc_of("doc_id"), F.lit(5))
+    scored = hmm.score_texts(table(spark, sf_dir, "documents"), remainder != 1, keep=["doc_id"])
+    held_out = F.coalesce(F.pmod(crc_of("row.doc_id"), F.lit(5)) == 1, F.lit(False))
+    return scored.select(F.col("row.doc_id").alias("doc_id"), held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, unnest([{'at': i, 'h': md5(array_to_string(w[i : i + 12], ' '))} for i in range(1, len(w) - 11)], recursive := true) FROM d WHERE len(w) >= 13),
+least AS (SELECT h, min(doc_id) AS m FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range("at", "at" + 13)) AS word FROM win JOIN least ON win.h = least.h AND m < doc_id),
+lists AS (SELECT doc_id, list(word) AS words FROM gone GROUP BY doc_id),
+kept AS (SELECT d.doc_id, w, words, CASE WHEN words IS NULL THEN w ELSE [w[i] for i in range(1, len(w) + 1) if NOT list_contains(words, i)] END AS rest FROM d LEFT JOIN lists ON d.doc_id = lists.doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(words), 0) AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(rest, ' '), '')) AS kept_sha256
+FROM kept
+"""
+
+
+@query("op9_repeated_phrases", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = phrases.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"], with_text=False)
+    return kept.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 OP10_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
