@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, hmm, langid, minhash, mixing, phrases, pii, warc
+from rowloom.llm import decontaminate, hmm, langid, licenses, minhash, mixing, phrases, pii, search, warc
 from rowloom.llm.tables import crc_of, table
 from rowloom.session import scratch_path
 
@@ -31,6 +31,29 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select(F.col("row.doc_id").alias("doc_id"), "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+g AS (SELECT count(*) AS n, sum(len(w)) / count(*) AS mean FROM d),
+s AS (
+  SELECT q.doc_id AS query_id, t.doc_id, round(sum(q.tf * ln(1 + (g.n - df.df + 0.5) / (df.df + 0.5)) * t.tf * 2.2 / (t.tf + 1.2 * (0.25 + 0.75 * len(d.w) / g.mean))), 6) AS score
+  FROM tf q JOIN tf t ON q.term = t.term JOIN df ON df.term = q.term JOIN d ON d.doc_id = t.doc_id, g
+  WHERE q.doc_id % 50 = 0 GROUP BY ALL)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+@query("op2_bm25_search", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = search.top_documents(docs, docs.filter("doc_id % 50 = 0").withColumnRenamed("doc_id", "query_id"))
+    return found.select("query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score")
+
+
 @query("op3_personal_data")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_private(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -89,6 +112,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
+@query("op7_licenses")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_lines", F.array_join("families", ",").alias("families"), "n_licensed", "n_unknown", "probability")
+
+
 @query("op8_hidden_markov")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = F.pmod(crc_of("doc_id"), F.lit(5))
