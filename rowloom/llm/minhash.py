@@ -118,18 +118,31 @@ def _digest(size: int, rows: int, n_bands: int):
     return run
 
 
-def _linked(size: int, share: int):
+COMPARED = "struct<linked:boolean,common:bigint,left_0:bigint,left_1:bigint,right_0:bigint,right_1:bigint>"
+_COMPARED = pa.struct([("linked", pa.bool_()), *[(x, pa.int64()) for x in ("common", "left_0", "left_1", "right_0", "right_1")]])
+
+
+def _compare(size: int, share: int):
+    """Whether two texts are linked, their common shingles, and 128-bit marks of those that only one has."""
+
     def run(left: pa.Array, right: pa.Array) -> pa.Array:
         out = []
         for at, to in slices(left, 1 << 20):
             (ta, va), (tb, vb) = (shingle_sets(x.slice(at, to - at), size) for x in (left, right))
             a, b = (np.bincount(t, minlength=to - at) for t in (ta, tb))
-            order = np.lexsort((np.concatenate([va, vb]), np.concatenate([ta, tb])))
-            text, value = np.concatenate([ta, tb])[order], np.concatenate([va, vb])[order]
-            common = (text[1:] == text[:-1]) & (value[1:] == value[:-1])
-            both = np.bincount(text[1:][common], minlength=to - at)
-            out.append(100 * both >= share * (a + b - both))
-        return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
+            text, value = np.concatenate([ta, tb]), np.concatenate([va, vb])
+            side = np.repeat([0, 1], [len(ta), len(tb)])
+            order = np.lexsort((value, text))
+            text, value, side = text[order], value[order], side[order]
+            pair = (text[1:] == text[:-1]) & (value[1:] == value[:-1])
+            alone = ~(np.concatenate([pair, [False]]) | np.concatenate([[False], pair])) if len(text) else np.zeros(0, bool)
+            both = np.bincount(text[1:][pair], minlength=to - at)
+            marks = np.zeros((4, to - at), np.uint64)
+            bit = np.uint64(1) << (value & np.uint64(63))
+            np.bitwise_or.at(marks, (2 * side[alone] + (value[alone] >> np.uint64(6) & np.uint64(1)).astype(np.int64), text[alone]), bit[alone])
+            fields = [pa.array(100 * both >= share * (a + b - both)), pa.array(both.astype(np.int64)), *[pa.array(m.view(np.int64)) for m in marks]]
+            out.append(pa.StructArray.from_arrays(fields, fields=list(_COMPARED)))
+        return pa.concat_arrays(out) if out else pa.array([], type=_COMPARED)
 
     return run
 
@@ -145,10 +158,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     1. Texts with equal sets are one class, so exact copies are grouped before anything else.
     2. Bucket sizes are counted; a class is the more central, the larger its buckets. In every bucket
        all others are compared with its most central member: one pair per member.
-    3. Components of the confirmed pairs are found. Where a bucket still holds several components, its
-       members are compared across components, since any link could join them; pairs within a component
-       would change nothing.
-    Pairs are filtered by set size before texts are fetched, and confirmed on whole sets.
+    3. Components of the confirmed pairs are found. Where a bucket still holds several components, any link
+       across them would join them, so members outside the central one's component are held against all
+       others. What is known from the comparison with the central member bounds how much two members can
+       share: what both keep of it, at most what neither lacks, and what both add to it. 128-bit marks of
+       the shingles lacked and added make the bounds close. Only pairs whose bounds allow a link are made.
+    Pairs are confirmed on whole sets.
     """
     spark = docs.sparkSession
     digest = F.arrow_udf(_digest(size, rows, n_bands), DIGEST)(F.col(f"`{text}`"))
@@ -164,22 +179,26 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     member = materialize(member.join(central, "node").select("bucket", "node", "n", "centre"), "centred")
     pivot = member.groupBy("bucket").agg(F.max(F.struct("centre", -F.col("node"), "n")).alias("p"))
     pivot = pivot.select(apart("bucket").alias("key"), (-F.col("p.col2")).alias("pivot"), F.col("p.n").alias("n_pivot"))
-    stars = member.join(pivot, member["bucket"] == pivot["key"]).filter("node != pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"), F.col("n").alias("n_a"), F.col("n_pivot").alias("n_b"))
-    alike = 100 * F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b")
-    stars = stars.filter(alike).select("a", "b").distinct()
+    member = materialize(member.join(pivot, member["bucket"] == pivot["key"]).select("bucket", "node", "n", "pivot", "n_pivot"), "starred")
     wanted = classes.join(member.select("node").distinct(), "node").select("node", "sample.*")
     texts = _texts(docs, text, doc_id, wanted)
-    links = materialize(_confirm(stars, texts, size, share), "links")
-    groups = components(links)
-    # buckets with several components: compare across them, but for pairs with the pivot, which are decided
-    placed = member.join(groups, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    placed = materialize(placed.join(mixed.select(apart("bucket").alias("key")), F.col("bucket") == F.col("key"), "left_semi"), "mixed-buckets")
-    left, right = (placed.select("bucket", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("root").alias(f"root_{x}")) for x in "ab")
-    across = left.join(right, "bucket").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & alike)
-    across = across.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    links = links.union(_confirm(across, texts, size, share))
+    stars = member.filter("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    stars = materialize(_compared(stars, texts, size, share), "stars")
+    links = stars.filter("linked").select("a", "b")
     groups = components(links)
+    placed = member.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    main = groups.select(F.col("node").alias("main_node"), F.col("root").alias("main"))
+    placed = placed.join(main, placed["pivot"] == main["main_node"], "left").withColumn("main", F.coalesce("main", "pivot")).filter("node != pivot")
+    known = stars.select(F.col("a").alias("known_a"), F.col("b").alias("known_b"), "common", *[f"{s}_{i}" for s in ("left", "right") for i in (0, 1)])
+    placed = placed.join(known, (F.col("node") == F.col("known_a")) & (F.col("pivot") == F.col("known_b")))
+    columns = ["node", "n", "n_pivot", "root", "main", "common", "left_0", "left_1", "right_0", "right_1"]
+    placed = materialize(placed.select("bucket", *columns), "placed")
+    outside, others = (placed.select("bucket", *[F.col(c).alias(f"{x}_{c}") for c in columns]) for x in "xy")
+    outside = outside.filter("x_root != x_main")
+    across = outside.join(others, "bucket").filter((F.col("x_root") != F.col("y_root")) & ((F.col("x_node") < F.col("y_node")) | (F.col("y_root") == F.col("y_main"))) & _may_link(share))
+    across = across.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+    across = _compared(across, texts, size, share).filter("linked").select("a", "b")
+    groups = components(links.union(across))
     grouped = classes.select("node", "a", "b", "n", "lead").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     best = grouped.groupBy("root").agg(F.min("lead").alias("best"))
     labels = grouped.join(best.select(apart("root").alias("r"), "best"), F.col("root") == F.col("r"))
@@ -198,10 +217,27 @@ def _texts(docs: DataFrame, text: str, doc_id: str, wanted: DataFrame) -> DataFr
     return materialize(found.groupBy("node").agg(F.max("text").alias("text")), "candidate-texts")
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, size: int, share: int) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame, size: int, share: int) -> DataFrame:
     left, right = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-    linked = F.arrow_udf(_linked(size, share), "boolean")("text_a", "text_b")
-    return pairs.join(left, "a").join(right, "b").filter(linked).select("a", "b")
+    result = F.arrow_udf(_compare(size, share), COMPARED)("text_a", "text_b")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", result.alias("r")).select("a", "b", "r.*")
+
+
+def _may_link(share: int):
+    """Whether x and y, each compared with the same central text, can be linked."""
+
+    def only(side: str, a: str, b: str):
+        """At least so many marked shingles has a that b has not."""
+        return sum(F.bit_count(F.col(f"{a}_{side}_{i}").bitwiseAND(F.bitwise_not(F.col(f"{b}_{side}_{i}")))) for i in (0, 1))
+
+    def lacked(a: str, b: str):
+        return F.col("x_n_pivot") - F.col(f"{a}_common") + only("right", b, a)
+
+    def added(a: str, b: str):
+        return F.col(f"{a}_n") - F.col(f"{a}_common") - only("left", a, b)
+
+    most = F.col("x_n_pivot") - F.greatest(lacked("x", "y"), lacked("y", "x")) + F.least(added("x", "y"), added("y", "x"))
+    return (100 + share) * most >= share * (F.col("x_n") + F.col("y_n"))
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
