@@ -9,9 +9,9 @@ id. Every word that a repeated phrase covers goes.
    only rule out their phrases.
 3. Confirmation: the remaining phrases are grouped by hash with their least and largest id. Those with two
    ids are repeated, and the least id keeps them.
-4. Each document meets the phrases it repeats in a join. Tasks compile automata over the phrases of a
-   bounded slice of documents (the shards; a word is one symbol) and stream the slice's documents through
-   them, which finds every occurrence.
+4. Each document meets the phrases it repeats in a join. Tasks join neighbouring phrases to passages,
+   compile automata over the passages of a bounded slice of documents (the shards; a word is one symbol)
+   and stream the slice's documents through them, which finds every occurrence.
 
 Minima are combined before each exchange, so a phrase in a third of all documents is a few rows per task.
 Bit tables of fixed size keep rows that cannot matter out of the exchanges; the joins decide.
@@ -94,43 +94,51 @@ def _phrase_rows(size: int, gram: int, anchors, confirmed):
 
 
 class Shard:
-    """An automaton over the phrases that documents of a slice repeat; words are symbols of the slice."""
+    """An automaton over the passages that documents of a slice repeat; words are symbols of the slice.
 
-    def __init__(self, words: Words, size: int, wanted: dict[int, int]) -> None:
-        values, number = np.unique(words.hash, return_inverse=True)
+    A passage is a longest run of phrases that its document repeats. It carries the largest of their
+    least ids: a document with a larger id repeats all of them.
+    """
+
+    def __init__(self, words: Words, size: int, phrase: np.ndarray, least: np.ndarray, ids: np.ndarray) -> None:
+        _, number = np.unique(words.hash, return_inverse=True)
         number = number.astype(np.uint32) + 1
         number[number >= 0xD800] += 0x800  # code points that are no characters
         # texts are parted by a symbol that is no word
-        ends = words.first[1:]
         self.place = np.arange(len(number)) + words.text
-        symbols = np.zeros(len(number) + len(ends), "<u4")
+        symbols = np.zeros(len(number) + len(words.bounds) - 1, "<u4")
         symbols[self.place] = number
         self.symbols = symbols.tobytes().decode("utf-32-le")
-        self.size = size
+        self.owner = np.zeros(len(symbols), np.int64)
+        self.owner[self.place] = ids[words.text]
         self.automaton = ahocorasick.Automaton()
         at = _starts(words, size)
-        phrase = joined(words.hash, size)[at].view(np.int64) if len(at) else np.zeros(0, np.int64)
-        listed = np.fromiter(wanted, np.int64, len(wanted))
-        found, first = np.unique(phrase, return_index=True)
-        keep = np.isin(found, listed)
-        for h, place in zip(found[keep].tolist(), self.place[at[first[keep]]].tolist(), strict=True):
-            self.automaton.add_word(self.symbols[place : place + size], wanted[h])
-        self.automaton.make_automaton()
-
-    def covered(self, text: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Which words lie in a phrase whose least id is below their document's."""
-        n = len(self.symbols)
-        cover = np.zeros(n + 1, np.int64)
+        hashes = joined(words.hash, size)[at].view(np.int64) if len(at) else np.zeros(0, np.int64)
+        order = np.argsort(phrase, kind="stable")
+        phrase, least = phrase[order], least[order]
+        found = np.searchsorted(phrase, hashes)
+        found[found == len(phrase)] = 0
+        repeated = (phrase[found] == hashes) & (least[found] < ids[words.text[at]]) if len(phrase) else np.zeros(len(at), bool)
+        at, least = at[repeated], least[found[repeated]] if len(phrase) else least
+        if len(at):
+            begins = np.flatnonzero(np.concatenate([[True], (np.diff(at) > 1) | (np.diff(words.text[at]) > 0)]))
+            tops = np.maximum.reduceat(least, begins)
+            ends = at[np.concatenate([begins[1:], [len(at)]]) - 1] + size
+            for a, b, top in zip(self.place[at[begins]].tolist(), (self.place[ends - 1] + 1).tolist(), tops.tolist(), strict=True):
+                passage = self.symbols[a:b]
+                known = self.automaton.get(passage, None)
+                if known is None or top < known[1]:
+                    self.automaton.add_word(passage, (b - a, top))
+            self.automaton.make_automaton()
+
+    def covered(self) -> np.ndarray:
+        """Which words lie in an occurrence of a passage that their document repeats."""
+        cover = np.zeros(len(self.symbols) + 1, np.int64)
         if len(self.automaton):
-            hits = list(self.automaton.iter(self.symbols))
-            end = np.array([e for e, _ in hits], np.int64) + 1
-            least = np.array([m for _, m in hits], np.int64)
-            owner = np.zeros(n, np.int64)
-            owner[self.place] = text
-            if len(end):
-                repeats = least < ids[owner[end - 1]]
-                np.add.at(cover, end[repeats] - self.size, 1)
-                np.add.at(cover, end[repeats], -1)
+            hits = np.array([(end + 1, n, top) for end, (n, top) in self.automaton.iter(self.symbols)], np.int64).reshape(-1, 3)
+            hits = hits[hits[:, 2] < self.owner[hits[:, 0] - 1]]
+            np.add.at(cover, hits[:, 0] - hits[:, 1], 1)
+            np.add.at(cover, hits[:, 0], -1)
         return (np.cumsum(cover[:-1]) > 0)[self.place]
 
 
@@ -140,7 +148,7 @@ def _remove(size: int, with_text: bool):
     def run(batches):
         for batch in batches:
             texts = batch.column("text")
-            for a, b in slices(texts):
+            for a, b in slices(texts, 2 << 20):
                 part = batch.slice(a, b - a)
                 words = split_words(texts.slice(a, b - a), SPACED)
                 first = words.first
@@ -150,9 +158,8 @@ def _remove(size: int, with_text: bool):
                 lists = part.column("phrases")
                 if lists.null_count < len(lists):
                     pairs = lists.flatten()
-                    wanted = dict(zip(pairs.field("h").to_pylist(), pairs.field("m").to_pylist(), strict=True))
                     ids = part.column("id").fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-                    gone = gone | Shard(words, size, wanted).covered(words.text, ids)
+                    gone = gone | Shard(words, size, pairs.field("h").to_numpy(), pairs.field("m").to_numpy(), ids).covered()
                 data = words.data.tobytes()
                 removed = np.bincount(words.text, weights=gone, minlength=b - a).astype(np.int64)
                 kept = []
@@ -190,7 +197,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     once = named.filter("id IS NOT NULL").filter(~perhaps(copied, F.col("th")) | perhaps(first, F.xxhash64("id", "th")))
     anchors = once.select("id", "text").mapInArrow(_anchor_rows(size, gram), "a bigint, d bigint")
     anchors = anchors.groupBy("a").agg(F.min("d").alias("least"), F.max("d").alias("most")).filter("least < most")
-    anchors = bit_table(anchors, "a")
+    anchors = bit_table(materialize(anchors.select("a"), "anchors"), "a")
     rows = once.select("id", "k", "text")
     phrases = rows.mapInArrow(_phrase_rows(size, gram, anchors, None), "h bigint, d bigint, k bigint")
     phrases = phrases.groupBy("h").agg(F.min("d").alias("m"), F.max("d").alias("most")).filter("m < most")

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.sieve import bit_table, perhaps
 from rowloom.operators.keys import apart
+from rowloom.session import materialize
 
 SAMPLE_ROWS = 1000
 SAMPLE_BYTES = 8 << 20
@@ -112,6 +113,7 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     rows = pages.select(F.col(f"`{page_id}`").alias("page"), F.col(f"`{url}`").cast("string").alias("url"), F.coalesce(F.col(f"`{payload}`").cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     lead = rows.filter(F.length("payload") >= least_bytes).groupBy("digest").agg(F.max("page").alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    lead = materialize(lead, "repeated-payloads")
     twice = rows.withColumn("twice", perhaps(bit_table(lead.select(F.xxhash64("digest").alias("h")), "h"), F.xxhash64("digest")))
     joined = twice.filter("twice").join(lead.select(apart("digest").alias("key"), "lead"), F.col("digest") == F.col("key"), "left")
     revisit = F.col("key").isNotNull() & ~F.col("page").eqNullSafe(F.col("lead"))
