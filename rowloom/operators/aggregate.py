@@ -89,21 +89,21 @@ def joined_list(
     distinct: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Values of a group as one ordered, delimited text.
+    """Values of a group as one ordered, delimited text; null for a group of nulls only.
 
     ``distinct`` removes repeats before the exchange. The values of a large group are put
     in order over many tasks and joined piece by piece; only its text is ever in one place,
     and that has to fit one cell.
     """
     order = value if distinct or order_by is None else order_by
-    source = df.select(*by, F.col(order).alias("_k"), F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    source = df.select(*by, F.col(order).alias("_k"), F.col(value).alias("_v"))
     if distinct:
         source = source.distinct()
 
     def joined(rows: DataFrame, groups: Sequence[str], rank: Sequence[str], text: str) -> DataFrame:
         items = F.sort_array(F.collect_list(F.struct(*rank, F.col(text).alias("_text"))))
         return rows.groupBy(*groups).agg(
-            F.array_join(F.transform(items, lambda i: i["_text"].cast("string")), separator).alias(name)
+            F.when(F.count(text) > 0, F.array_join(F.transform(items, lambda i: i["_text"].cast("string")), separator)).alias(name)
         )
 
     ordinary, hot = split_hot(source, by, hot_rows)

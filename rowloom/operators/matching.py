@@ -61,7 +61,7 @@ def fuzzy_lookup(
     return main.join(best, main[main_col] == best["_value"], "left").drop("_value")
 
 
-def connected_groups(edges: DataFrame, left: str, right: str, max_rounds: int = 60) -> DataFrame:
+def connected_groups(edges: DataFrame, left: str, right: str) -> DataFrame:
     """(node, group) for the connected parts of a graph; a group is named by its least node.
 
     Alternates the large-star and small-star steps of Kiveris et al., "Connected Components
@@ -71,14 +71,10 @@ def connected_groups(edges: DataFrame, left: str, right: str, max_rounds: int =
     pairs = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).filter("u is not null and v is not null")
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     pairs = materialize(pairs.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    state = _fingerprint(pairs)
-    for _ in range(max_rounds):
+    before, state = None, _fingerprint(pairs)
+    while state != before:
         pairs = materialize(_small_star(_large_star(pairs)), "edges")
         before, state = state, _fingerprint(pairs)
-        if state == before:
-            break
-    else:
-        raise RuntimeError(f"groups did not settle in {max_rounds} rounds")
     roots = pairs.select(F.col("u").alias("node"), F.col("v").alias("group"))
     return nodes.join(roots, "node", "left").select("node", F.coalesce("group", "node").alias("group"))
 

@@ -80,7 +80,10 @@ def spark_type(declared: str, vendor: str = "postgresql") -> str:
         precision, scale = _PRECISION.get(name, DEFAULT_DECIMAL)
     else:
         precision, scale = numbers[0], numbers[1] if len(numbers) > 1 else 0
-    return f"decimal({min(precision, 38)},{scale})"
+    if scale < 0:  # rounded to tens or hundreds: so many more digits before the point
+        precision, scale = precision - scale, 0
+    # no decimal of Spark's holds more digits; text loses none
+    return f"decimal({precision},{scale})" if precision <= 38 else "string"
 
 
 def struct_type(columns: Sequence[Mapping[str, object]], vendor: str) -> T.StructType:

@@ -140,10 +140,12 @@ def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str, mode: str =
 
 
 def fixed_width_line(fields: Sequence[tuple[str, int, str]]) -> Column:
-    """Line text for (name, width, side): padded on the other side, cut when too long."""
+    """Line text for (name, width, side), padded on the other side. A value that is too long raises an error."""
     cells = []
     for name, width, side in fields:
         text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        long = F.concat(F.lit(f"{name} is longer than {width} characters: "), text)
+        text = F.when(F.length(text) > width, F.raise_error(long).cast("string")).otherwise(text)
         cells.append(F.lpad(text, width, " ") if side == "right" else F.rpad(text, width, " "))
     return F.concat(*cells)
 

@@ -89,7 +89,11 @@ def insert_into(df: DataFrame, name: str, overwrite_partitions: bool = False) ->
     """Append to a table by column name, or replace just the partitions the rows fall in, so
     that a load can be run again."""
     spark = df.sparkSession
-    writer = df.select(*spark.read.table(name).columns).write
+    columns = spark.read.table(name).columns
+    unknown = {c.lower() for c in df.columns} - {c.lower() for c in columns}
+    if unknown:
+        raise ValueError(f"{name} has no columns {sorted(unknown)}")
+    writer = df.select(*columns).write
     if not overwrite_partitions:
         writer.insertInto(name)
         return

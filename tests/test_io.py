@@ -62,8 +62,11 @@ def test_delimited_flows(spark, tmp_path, rows):
     assert rows(flows.rejected, "_bad_row") == [("x,b",)]
 
 
-def test_fixed_width_cuts_and_pads(spark):
-    df = spark.createDataFrame([(5, "abcdef", None)], "n int, s string, z string")
+def test_fixed_width_pads_and_refuses_to_cut(spark):
+    df = spark.createDataFrame([(1234567,)], "n int")
+    with pytest.raises(Exception, match="longer than 4"):
+        df.select(files.fixed_width_line([("n", 4, "right")])).collect()
+    df = spark.createDataFrame([(5, "abcd", None)], "n int, s string, z string")
     line = df.select(files.fixed_width_line([("n", 3, "right"), ("s", 4, "left"), ("z", 2, "left")])).first()[0]
     assert line == "  5abcd  "
 
@@ -166,3 +169,10 @@ def test_available_now_takes_only_new_files(spark, tmp_path):
 def test_topic_options():
     got = topic_options("h:9092", "t", failOnDataLoss=False)
     assert got["subscribe"] == "t" and got["failOnDataLoss"] == "False"
+
+
+def test_insert_refuses_unknown_columns(spark):
+    spark.sql("CREATE TABLE narrow_target (k int, v string) USING parquet")
+    with pytest.raises(ValueError, match="no columns"):
+        TB.insert_into(spark.createDataFrame([(1, "a", 2)], "k int, v string, extra int"), "narrow_target")
+    spark.sql("DROP TABLE narrow_target")

@@ -150,3 +150,18 @@ def test_joined_list_of_a_hot_group(spark, hot_rows, monkeypatch):
     df = spark.range(0, 300, 1, 5).selectExpr("if(id % 3 = 0, 'hot', string(id)) as g", "299 - id as k", "id as v")
     got = {r.g: r.text for r in A.joined_list(df, ["g"], "v", "text", "|", order_by="k", hot_rows=hot_rows).collect()}
     assert got["hot"] == "|".join(str(i) for i in range(297, -1, -3)) and got["1"] == "1" and len(got) == 201
+
+
+def test_joined_list_keeps_groups_of_nulls(spark):
+    from rowloom.operators.aggregate import joined_list
+
+    df = spark.createDataFrame([("a", "x"), ("a", None), ("b", None)], "k string, v string")
+    for hot_rows in (1_000_000, 1):
+        assert {r.k: r.names for r in joined_list(df, ["k"], "v", "names", hot_rows=hot_rows).collect()} == {"a": "x", "b": None}
+
+
+def test_types_beyond_spark_decimals_lose_no_digits():
+    from rowloom.schema import spark_type
+
+    assert spark_type("DECIMAL(65,30)", "mysql") == "string"
+    assert spark_type("NUMBER(10,-2)", "oracle") == "decimal(12,0)"
