@@ -244,7 +244,7 @@ def identify(text: Column, spark, model: Model | None, spans: bool = True, switc
         if shared.value is None:
             return pa.array([{"lang": UNKNOWN, "score": 0.0, "spans": []}] * len(texts), type=KIND)
         labeller = Labeller(shared.value, switch)
-        parts = [pa.array(labeller.label(texts.slice(a, b - a).to_pylist(), spans), type=KIND) for a, b in slices(texts, 16 << 20)]
+        parts = [pa.array(labeller.label(texts.slice(a, b - a).to_pylist(), spans), type=KIND) for a, b in slices(texts, 4 << 20)]
         return pa.concat_arrays(parts) if parts else pa.array([], type=KIND)
 
     return F.arrow_udf(run, RESULT)(text)

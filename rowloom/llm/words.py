@@ -17,8 +17,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # bytes of text that are worked on at once; a single longer text is a slice of its own
-SLICE_BYTES = 4 << 20
-PIECE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
