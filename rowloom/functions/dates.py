@@ -104,10 +104,18 @@ def unit_of(unit: str) -> str:
 
 
 def now(run_at: dt.datetime | None = None) -> Column:
-    """Time of the run: given, so that a run can be repeated, or the clock in UTC."""
+    """Time of the run: given, so that a run can be repeated, or the instant of the clock."""
     return clock(run_at) if run_at else F.current_timestamp()
 
 
+def utc_now(run_at: dt.datetime | None = None) -> Column:
+    """The UTC clock without a zone, whatever the zone of the session."""
+    if run_at:
+        return clock(run_at)
+    seconds = (F.unix_micros(F.current_timestamp()) / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def today(run_at: dt.datetime | None = None) -> Column:
     return F.lit(run_at.date()) if run_at else F.current_date()
 
@@ -125,11 +133,13 @@ def add(value: Column | str, unit: str, n: int | Column) -> Column:
 
 
 def add_months(value: Column | str, n: int | Column) -> Column:
-    """ADD_MONTHS: the last day of a month stays the last day of a month."""
-    date = as_col(value).cast("date")
+    """ADD_MONTHS: the last day of a month stays the last day of a month; a time of day stays."""
+    value = as_col(value)
+    date = value.cast("date")
     n = n if isinstance(n, Column) else F.lit(n)
     moved = F.add_months(date, n)
-    return F.when(date == F.last_day(date), F.last_day(moved)).otherwise(moved)
+    more = F.when(date == F.last_day(date), F.datediff(F.last_day(moved), moved)).otherwise(0)
+    return value + F.make_interval(months=n) + F.make_interval(days=more)
 
 
 def days_between(start: Column | str, end: Column | str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,15 +15,16 @@ _FALSE_WORDS = ("false", "f", "no", "n", "0")
 
 
 def truncate(value: Column | str, digits: int = 0) -> Column:
-    """TRUNC for numbers: cut towards zero.
+    """TRUNC for numbers: cut towards zero. Decimals stay decimals, doubles stay doubles.
 
-    Doubles go through a decimal, so that 1.15 cut to two digits is 1.15 and not 1.14.
+    Spark rounds doubles by their decimal digits, so 1.15 cut to two digits is 1.15 and not 1.14;
+    a value that was rounded away from zero goes back by one step of the last digit.
     """
-    exact = as_col(value).cast("decimal(38,10)")
-    factor = F.lit(10**abs(digits)).cast("decimal(20,0)")
-    scaled = exact * factor if digits >= 0 else exact / factor
-    whole = F.when(scaled < 0, F.ceil(scaled)).otherwise(F.floor(scaled))
-    return (whole.cast("double") / 10**digits) if digits >= 0 else whole.cast("double") * 10**-digits
+    value = as_col(value)
+    near = F.round(value, digits)
+    step = F.lit(Decimal(1).scaleb(-digits).quantize(Decimal(1).scaleb(-max(digits, 0))))
+    back = F.round(F.when(value < 0, near + step).otherwise(near - step), digits)
+    return F.when(F.abs(near) > F.abs(value), back).otherwise(near)
 
 
 def convert(value: Column | str, to: str, strict: bool = True) -> Column:

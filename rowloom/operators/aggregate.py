@@ -183,13 +183,10 @@ def page_rows(df: DataFrame, offset: int, n: int, order_by: Sequence[str | Colum
 
 
 def random_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows in random order (all when there are fewer). Draws above a bound that
-    about twice as many rows pass are left out before ordering; that fewer than ``n`` pass
-    has no chance worth counting, thanks to the constant on top."""
-    share = (2 * n + 100) / max(df.count(), 1)
-    drawn = df.withColumn("_draw", F.rand(seed))
-    if share < 1:
-        drawn = drawn.filter(F.col("_draw") <= share)
+    """Exactly ``n`` rows in random order (all when there are fewer), the same for the same rows and
+    seed however they are partitioned. Rows go by a seeded hash of all their columns, so equal rows
+    stand together; each task keeps only its own first ``n``."""
+    drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]))
     return drawn.orderBy("_draw").limit(n).drop("_draw")
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ def _timestamp(value: dt.datetime | Column) -> Column:
 def scd2(
     dimension: DataFrame | None,
     source: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     *,
     now: dt.datetime,
     surrogate: str,
@@ -34,21 +36,17 @@ def scd2(
 
     Current rows whose tracked columns changed, or whose key the source lacks, are closed at
     ``now``; changed and new source rows open a version that ends in 9999. A key closed
-    earlier comes back as new. Each comparison joins one side only by key and hash.
+    earlier comes back as new. Rows are compared by the tracked columns themselves, nulls
+    included; their hash is only stored, since unlike rows may share one.
     """
-    tracked = list(tracked) or [c for c in source.columns if c != key]
-    keyless = without_key(source, [key]).withColumn(C.ROW_HASH, row_hash(tracked))
-    source = one_row_per_key(source, [key], order_by).withColumn(C.ROW_HASH, row_hash(tracked))
+    keys = [key] if isinstance(key, str) else list(key)
+    tracked = list(tracked) or [c for c in source.columns if c not in keys]
+    keyless = without_key(source, keys).withColumn(C.ROW_HASH, row_hash(tracked))
+    source = one_row_per_key(source, keys, order_by).withColumn(C.ROW_HASH, row_hash(tracked))
     opened = source
     if dimension is not None:
-        known = dimension.filter(C.IS_CURRENT).select(
-            F.col(key).alias("_known_key"), F.col(C.ROW_HASH).alias("_known_hash")
-        )
-        opened = (
-            source.join(known, source[key] == known["_known_key"], "left")
-            .filter(F.col("_known_key").isNull() | (F.col(C.ROW_HASH) != F.col("_known_hash")))
-            .select(*source.columns)
-        )
+        joined, missing, differs = _compared(source, dimension.filter(C.IS_CURRENT), keys, tracked)
+        opened = joined.filter(missing | differs).select(*[F.col(f"`{c}`") for c in source.columns])
     opened = opened.unionByName(keyless).withColumns(
         {
             C.VALID_FROM: _timestamp(now),
@@ -58,23 +56,32 @@ def scd2(
             C.SOURCE_NAME: F.lit(source_name),
         }
     )
-    opened = surrogate_key(opened, surrogate, [key], existing=dimension)
+    opened = surrogate_key(opened, surrogate, keys, existing=dimension)
     if dimension is None:
         return opened
-    closed = _close_versions(dimension.filter(C.IS_CURRENT), source, key, now, close_missing)
+    closed = _close_versions(dimension.filter(C.IS_CURRENT), source, keys, tracked, now, close_missing)
     past = dimension.filter(~F.col(C.IS_CURRENT))
     return past.unionByName(closed).unionByName(opened, allowMissingColumns=True)
 
 
-def _close_versions(current: DataFrame, source: DataFrame, key: str, now: dt.datetime, close_missing: bool) -> DataFrame:
+def _compared(rows: DataFrame, other: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> tuple[DataFrame, Column, Column]:
+    """Rows next to the other side's row of the same key, whether it is missing, and whether it differs."""
+    other = other.select(
+        *[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(keys)], *[F.col(f"`{c}`").alias(f"_value{i}") for i, c in enumerate(tracked)]
+    )
+    same_key = reduce(and_, [rows[f"`{k}`"] == other[f"_key{i}"] for i, k in enumerate(keys)])
+    equal = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"_value{i}")) for i, c in enumerate(tracked)], F.lit(True))
+    missing = F.col("_key0").isNull()
+    return rows.join(other, same_key, "left"), missing, ~missing & ~equal
+
+
+def _close_versions(current: DataFrame, source: DataFrame, keys: Sequence[str], tracked: Sequence[str], now: dt.datetime, close_missing: bool) -> DataFrame:
     """Current rows, closed where the source differs or lacks the key."""
-    news = source.select(F.col(key).alias("_news_key"), F.col(C.ROW_HASH).alias("_news_hash"))
-    joined = current.join(news, current[key] == news["_news_key"], "left")
-    gone = F.col("_news_key").isNull() if close_missing else F.lit(False)
-    ends = gone | F.coalesce(F.col(C.ROW_HASH) != F.col("_news_hash"), F.lit(False))
+    joined, missing, differs = _compared(current, source, keys, tracked)
+    ends = missing | differs if close_missing else differs
     return joined.withColumns(
         {
             C.VALID_TO: F.when(ends, _timestamp(now)).otherwise(F.col(C.VALID_TO)),
             C.IS_CURRENT: ~ends,
         }
-    ).select(*current.columns)
+    ).select(*[F.col(f"`{c}`") for c in current.columns])

@@ -8,11 +8,13 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom import constants as C
 from rowloom.operators.change import apply_action
 from rowloom.operators.keys import first_per_key
 from rowloom.operators.shape import audit_columns
+from rowloom.session import materialize
 
 
 class Load(NamedTuple):
@@ -44,12 +46,17 @@ def changes_since(source: DataFrame, column: str, watermark: str, overlap: str |
     """Rows above the watermark.
 
     A row that shares the last timestamp but arrives later is missed by a strict test. An
-    ``overlap`` such as ``"1 hour"`` reads that much again; the upsert makes it harmless.
+    ``overlap`` such as ``"1 hour"`` reads that much again; the upsert makes it harmless. Numeric
+    columns take a number as overlap and have no rows below the first watermark.
     """
-    bound = F.lit(watermark).cast(source.schema[column].dataType)
+    kind = source.schema[column].dataType
+    numeric = isinstance(kind, T.NumericType)
+    if numeric and watermark == C.FIRST_WATERMARK:
+        return source.filter(F.col(column).isNotNull())
+    bound = F.lit(watermark).cast(kind)
     if overlap is None:
         return source.filter(F.col(column) > bound)
-    return source.filter(F.col(column) >= bound - F.expr(f"interval {overlap}"))
+    return source.filter(F.col(column) >= bound - F.expr(overlap if numeric else f"interval {overlap}"))
 
 
 def watermark_load(
@@ -66,9 +73,11 @@ def watermark_load(
 ) -> Load:
     """Extract above the stored watermark, upsert, and store the new maximum.
 
-    Without changes neither the target nor the control table differs from before.
+    Without changes neither the target nor the control table differs from before. The changes are
+    read once and written to the shared folder: target and watermark come from the same rows, also
+    when the source grows meanwhile.
     """
-    changes = changes_since(source, column, last_watermark(control, name), overlap)
+    changes = materialize(changes_since(source, column, last_watermark(control, name), overlap), "changes")
     new_target = apply_action(target, changes, keys, "UPSERT", order_by)
     newest = changes.agg(F.max(column).cast("string").alias("last_watermark")).filter("last_watermark is not null")
     newest = newest.select(
@@ -91,7 +100,7 @@ def target_max_load(
 ) -> Load:
     """As above with the maximum of the target as watermark, and audit columns on the rows."""
     changes = changes_since(source, column, target_watermark(target, column), overlap)
-    changes = audit_columns(changes, source_name, now, run_date=False)
+    changes = materialize(audit_columns(changes, source_name, now, run_date=False), "changes")
     return Load(apply_action(target, changes, keys, "UPSERT", order_by), None, changes)
 
 

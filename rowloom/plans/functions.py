@@ -124,8 +124,8 @@ def fn_phonetic(t: Tables) -> DataFrame:
 
 
 @query("fn_date_add", """
-SELECT o_orderkey, CAST(CASE WHEN CAST(o_orderdate AS DATE) = last_day(o_orderdate) THEN last_day(o_orderdate + INTERVAL 1 MONTH) ELSE o_orderdate + INTERVAL 1 MONTH END AS DATE) AS month_on,
-       CAST(CASE WHEN CAST(o_orderdate AS DATE) = last_day(o_orderdate) THEN last_day(o_orderdate - INTERVAL 3 MONTH) ELSE o_orderdate - INTERVAL 3 MONTH END AS DATE) AS quarter_back,
+SELECT o_orderkey, CASE WHEN CAST(o_orderdate AS DATE) = last_day(o_orderdate) THEN last_day(o_orderdate + INTERVAL 1 MONTH) + CAST(o_orderdate AS TIME) ELSE o_orderdate + INTERVAL 1 MONTH END AS month_on,
+       CASE WHEN CAST(o_orderdate AS DATE) = last_day(o_orderdate) THEN last_day(o_orderdate - INTERVAL 3 MONTH) + CAST(o_orderdate AS TIME) ELSE o_orderdate - INTERVAL 3 MONTH END AS quarter_back,
        o_orderdate + INTERVAL 10 DAY AS days_on, o_orderdate - INTERVAL 5 HOUR AS hours_back, o_orderdate + INTERVAL 1 YEAR AS year_on,
        o_orderdate + INTERVAL 2 WEEK AS weeks_on, o_orderdate + INTERVAL 6 MONTH AS quarters_on, o_orderdate + INTERVAL 90 SECOND AS secs_on
 FROM orders
@@ -139,6 +139,13 @@ def fn_date_add(t: Tables) -> DataFrame:
     )
 
 
+@query("fn_add_months_time", """
+SELECT event_id, CASE WHEN CAST(ts AS DATE) = last_day(ts) THEN last_day(ts + INTERVAL 1 MONTH) + CAST(ts AS TIME) ELSE ts + INTERVAL 1 MONTH END AS month_on FROM events
+""")
+def fn_add_months_time(t: Tables) -> DataFrame:
+    return t.events.select("event_id", D.add_months("ts", 1).alias("month_on"))
+
+
 @query("fn_date_diff", """
 WITH e AS (SELECT event_id, ts, TIMESTAMP '2023-12-31 23:59:30' AS base FROM events)
 SELECT event_id, date_diff('year', base, ts) AS years, date_diff('quarter', base, ts) AS quarters, date_diff('month', base, ts) AS months,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,12 +65,21 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: Schema | None
 
 
 def read_lines(spark: SparkSession, path: str, name: str = "line", encoding: str | None = None) -> DataFrame:
-    """One row per line. A charset other than UTF-8 is read through the CSV reader, which
-    decodes; no separator or quote can occur in it."""
-    if encoding is None or encoding.upper() in ("UTF-8", "UTF8"):
-        return spark.read.text(path).select(F.col("value").alias(name))
-    reader = spark.read.options(encoding=encoding, sep="\u0001", quote="", ignoreLeadingWhiteSpace=False)
-    return reader.schema(f"`{name}` string").csv(path)
+    """One row per line, blank lines included. Lines are cut as bytes and decoded one by one, so the
+    charset must keep ASCII line ends: UTF-16 and UTF-32 are refused."""
+    lines = spark.read.text(path)
+    charset = codecs.lookup(encoding or "utf-8").name
+    if charset.startswith(("utf-16", "utf-32")):
+        raise ValueError(f"lines cannot be cut in {encoding}, convert the file first")
+    if charset == "utf-8":
+        return lines.select(F.col("value").alias(name))
+    if charset in ("ascii", "iso8859-1"):
+        return lines.select(F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias(name))
+
+    def decoded(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else v.decode(charset, "replace") for v in values.to_pylist()], pa.string())
+
+    return lines.select(F.arrow_udf(decoded, "string")(F.col("value").cast("binary")).alias(name))
 
 
 def read_fixed_width(spark: SparkSession, path: str, fields: Sequence[tuple[str, int, str]], trim: bool = True) -> DataFrame:
@@ -87,19 +98,31 @@ def read_regex(spark: SparkSession, path: str, pattern: str, fields: Mapping[str
     return Flows(flows.accepted.drop("value"), flows.rejected.withColumnRenamed("value", "line"))
 
 
-def read_entries(spark: SparkSession, path: str, attributes: Sequence[str], separator: str = "\n\n") -> DataFrame:
+def read_entries(spark: SparkSession, path: str, attributes: Sequence[str], separator: str | None = None) -> DataFrame:
     """Directory export (LDIF): blocks of ``name: value`` lines split by a blank line.
 
-    Folded lines are joined, comments dropped; a repeated attribute gives an array.
+    Folded lines are joined, comments dropped, ``name:: value`` decoded from base64; a repeated
+    attribute gives an array. Without a ``separator`` the first line tells whether lines end in
+    CR LF; files of the other kind in the same folder are cut as well, each after it was read whole.
     """
+    if separator is None:
+        first = spark.read.option("lineSep", "\n").text(path).first()
+        separator = "\r\n\r\n" if first and first[0].endswith("\r") else "\n\n"
     blocks = spark.read.option("lineSep", separator).text(path)
+    blocks = blocks.select(F.explode(F.split("value", r"\r?\n\r?\n")).alias("value"))
     lines = F.split(F.replace(F.regexp_replace("value", "\r", ""), F.lit("\n "), F.lit("")), "\n")
     lines = F.filter(lines, lambda x: x.rlike(r"^[^#\s][^:]*:"))
     blocks = blocks.select(lines.alias("lines")).filter(F.size("lines") > 0)
 
     def values(name: str) -> Column:
         mine = F.filter("lines", lambda x: F.lower(F.substring_index(x, ":", 1)) == name.lower())
-        return F.transform(mine, lambda x: F.trim(F.substring(x, F.lit(len(name) + 2), F.length(x)))).alias(name)
+        text = F.transform(mine, lambda x: F.substring(x, F.lit(len(name) + 2), F.length(x)))
+
+        def plain(x: Column) -> Column:
+            coded = F.unbase64(F.trim(F.substring(x, F.lit(2), F.length(x)))).cast("string")
+            return F.when(x.startswith(":"), coded).otherwise(F.trim(x))
+
+        return F.transform(text, plain).alias(name)
 
     return blocks.select(*[values(a) for a in attributes])
 

@@ -36,18 +36,44 @@ def stream_upsert(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+def _batches(spark: SparkSession, path: str, base: str | None) -> DataFrame:
+    """All batches; with a ``base``, its newest fold and the batches after it."""
+    rows = spark.read.parquet(path)
+    if base is None:
+        return rows
+    folds = spark.read.parquet(base)
+    last = folds.agg(F.max(BATCH)).first()[0]
+    return folds.filter(F.col(BATCH) == last).unionByName(rows.filter(F.col(BATCH) > last), allowMissingColumns=True)
+
+
 def upsert_state(
-    spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str | Column], deleted: str | None = None
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column],
+    deleted: str | None = None,
+    base: str | None = None,
 ) -> DataFrame:
-    """Current rows: the newest change per key over all batches, without deleted keys."""
-    state = first_per_key(spark.read.parquet(path), keys, [*order_by, F.desc(BATCH)]).drop(BATCH)
+    """Current rows: the newest change per key over all batches, without deleted keys.
+
+    ``base`` is the target of an earlier ``compact``: batches folded there are not read again.
+    """
+    state = first_per_key(_batches(spark, path, base), keys, [*order_by, F.desc(BATCH)]).drop(BATCH)
     return state.filter(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted) if deleted else state
 
 
-def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], order_by: Sequence[str | Column]) -> int:
-    """Fold all batches so far into batch folder of the last one below ``target``; gives its number."""
-    batches = spark.read.parquet(path)
+def compact(
+    spark: SparkSession, path: str, target: str, keys: Sequence[str], order_by: Sequence[str | Column], base: str | None = None
+) -> int:
+    """Fold all batches so far into batch folder of the last one below ``target``; gives its number.
+
+    The stream may go on writing to ``path``. The next fold takes this one as its ``base``, and goes to
+    another folder or to the same one.
+    """
+    batches = _batches(spark, path, base)
     last = batches.agg(F.max(BATCH)).first()[0]
+    if base is not None and base.rstrip("/") == target.rstrip("/") and last == spark.read.parquet(base).agg(F.max(BATCH)).first()[0]:
+        return last  # nothing came after the fold
     state = first_per_key(batches, keys, [*order_by, F.desc(BATCH)]).drop(BATCH)
     state.write.mode("overwrite").parquet(f"{target}/{BATCH}={last}")
     return last
