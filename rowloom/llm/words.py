@@ -7,6 +7,7 @@ ASCII bytes apart from all others, which makes byte classes exact for the word r
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -20,6 +21,9 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 2 << 20
 PIECE_BYTES = 1 << 18
 
+_LIBC = ctypes.CDLL(None)
+_M_MMAP_THRESHOLD, _LARGE = -3, 1 << 20
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -147,8 +151,20 @@ def joined(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def give_back() -> None:
+    """Return the pages of freed arrays to the system; workers are used again and would keep them.
+
+    From the first call on, large arrays go back at once when they are freed, also those of a task that ends.
+    """
+    if hasattr(_LIBC, "malloc_trim"):
+        if pa.default_memory_pool().backend_name != "system":
+            pa.set_memory_pool(pa.system_memory_pool())
+            _LIBC.mallopt(_M_MMAP_THRESHOLD, _LARGE)
+        _LIBC.malloc_trim(0)
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with at most ``most`` bytes of text, or one row."""
+    """Ranges of rows with at most ``most`` bytes of text, or one row; memory is given back after each."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     total = np.concatenate([[0], np.cumsum(sizes)])
     at = 0
@@ -156,6 +172,7 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         to = max(at + 1, int(np.searchsorted(total, total[at] + most, side="right")) - 1)
         yield at, to
         at = to
+        give_back()
 
 
 def text_udf(work: Callable[[pa.Array], list[dict] | pa.Array], result: str, kind: pa.DataType) -> Callable[[Column], Column]:
