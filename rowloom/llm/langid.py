@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -154,23 +155,25 @@ class Labeller:
         best = np.where(allowed, score, -np.inf).max(axis=1, keepdims=True)
         score = np.where(allowed, np.maximum(score - np.where(np.isfinite(best), best, 0), -self.switch), -2 * self.switch)
         score[~allowed.any(axis=1)] = 0
-        for i, word in enumerate(words, start=len(self.index)):
-            self.index[word] = i
         self.scores = np.concatenate([self.scores, score.astype(np.float32)])
 
     def label(self, texts: list[str | None], spans: bool) -> list[dict]:
-        matched = [words_of(text or "") for text in texts] if spans else []
-        if spans:
-            found = [[m[0] for m in row] for row in matched]
-        else:
-            found = [_WORD.findall((text or "").lower()) for text in texts]
-            found = [row if text is None or text.isascii() else [w for w in row if w.isascii() or any(map(str.isalpha, w))] for text, row in zip(texts, found, strict=True)]
         if len(self.index) > _WORDS_SEEN:
             self.index, self.scores = {}, self.scores[:0]
-        if new := list(dict.fromkeys(w for row in found for w in row if w not in self.index)):
-            self._learn(new)
-        index = self.index
-        rows = [(np.array([index[w] for w in row], np.int32), np.array([len(w) for w in row], np.int32)) for row in found]
+        index, known = self.index, len(self.index)
+        matched, rows = [], []
+        for text in texts:  # words become numbers text by text: their strings take many times the text's memory
+            if spans:
+                matches = words_of(text or "")
+                matched.append([m.span() for m in matches])
+                words = [m[0] for m in matches]
+            else:
+                words = _WORD.findall((text or "").lower())
+                if text is not None and not text.isascii():
+                    words = [w for w in words if w.isascii() or any(map(str.isalpha, w))]
+            rows.append((np.array([index.setdefault(w, len(index)) for w in words], np.int32), np.array([len(w) for w in words], np.int32)))
+        if len(index) > known:
+            self._learn(list(islice(index, known, None)))
         paths = self._viterbi([r for r, _ in rows])
         out = []
         for i, (path, (_, letters)) in enumerate(zip(paths, rows, strict=True)):
@@ -182,7 +185,7 @@ class Labeller:
             labelled = []
             if spans:
                 edges = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1, [len(path)]])
-                labelled = [{"lang": self.model.languages[path[a]], "start": matched[i][a].start(), "end": matched[i][b - 1].end()} for a, b in zip(edges, edges[1:], strict=False)]
+                labelled = [{"lang": self.model.languages[path[a]], "start": matched[i][a][0], "end": matched[i][b - 1][1]} for a, b in zip(edges, edges[1:], strict=False)]
             out.append({"lang": self.model.languages[best], "score": float(share[best]), "spans": labelled})
         return out
 
