@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from itertools import islice
 from typing import NamedTuple
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.tables import packed
-from rowloom.llm.words import mix, slices
+from rowloom.llm.words import mix, slices, small_batches
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 1500
@@ -54,6 +55,7 @@ SCRIPTS = sorted({s for _, s in SCRIPT_RANGES})
 _BLOCK_SCRIPT = [SCRIPTS.index(s) for _, s in SCRIPT_RANGES]
 _WORD = re.compile(r"[^\W\d_]+")
 _WORDS_SEEN = 200_000  # distinct words whose scores a task keeps before it starts afresh
+_WORDS_AT_ONCE = 4096  # new words whose n-grams are in memory together
 
 
 def script_of(word: str) -> int:
@@ -172,8 +174,9 @@ class Labeller:
                 if text is not None and not text.isascii():
                     words = [w for w in words if w.isascii() or any(map(str.isalpha, w))]
             rows.append((np.array([index.setdefault(w, len(index)) for w in words], np.int32), np.array([len(w) for w in words], np.int32)))
-        if len(index) > known:
-            self._learn(list(islice(index, known, None)))
+        fresh = islice(index, known, None)
+        while words := list(islice(fresh, _WORDS_AT_ONCE)):
+            self._learn(words)
         paths = self._viterbi([r for r, _ in rows])
         out = []
         for i, (path, (_, letters)) in enumerate(zip(paths, rows, strict=True)):
@@ -242,13 +245,16 @@ def identify(text: Column, spark, model: Model | None, spans: bool = True, switc
     Span ends are exclusive, in code points of the lower-cased text.
     """
     shared = spark.sparkContext.broadcast(model)
+    small_batches(spark)
 
-    def run(texts: pa.Array) -> pa.Array:
-        if shared.value is None:
-            return pa.array([{"lang": UNKNOWN, "score": 0.0, "spans": []}] * len(texts), type=KIND)
-        labeller = Labeller(shared.value, switch)
-        parts = [pa.array(labeller.label(texts.slice(a, b - a).to_pylist(), spans), type=KIND) for a, b in slices(texts, 4 << 20)]
-        return pa.concat_arrays(parts) if parts else pa.array([], type=KIND)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        labeller = Labeller(shared.value, switch) if shared.value is not None else None
+        for texts in batches:
+            if labeller is None:
+                yield pa.array([{"lang": UNKNOWN, "score": 0.0, "spans": []}] * len(texts), type=KIND)
+                continue
+            parts = [pa.array(labeller.label(texts.slice(a, b - a).to_pylist(), spans), type=KIND) for a, b in slices(texts, 4 << 20)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], type=KIND)
 
     return F.arrow_udf(run, RESULT)(text)
 

@@ -14,12 +14,14 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # bytes of text that are worked on at once; a single longer text is a slice of its own
 SLICE_BYTES = 2 << 20
 PIECE_BYTES = 1 << 18
+# bytes that Spark hands to Python at once, by a setting of the session
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 
 _LIBC = ctypes.CDLL(None)
 _M_MMAP_THRESHOLD, _LARGE = -3, 1 << 20
@@ -163,6 +165,15 @@ def give_back() -> None:
         _LIBC.malloc_trim(0)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let texts go to Python in batches of about ``BATCH_BYTES``, unless the session has a size of its own.
+
+    A batch exists on both sides of the pipe at once. The size alters no result.
+    """
+    if spark.conf.get(BATCH_CONF, "1") == "1":
+        spark.conf.set(BATCH_CONF, BATCH_BYTES)
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows with at most ``most`` bytes of text, or one row; memory is given back after each."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
