@@ -7,8 +7,8 @@ every run of ``window`` words in it is a run of some item. Items shorter than th
 whole. Long documents cost little: a word run can only reach the limit where each pair of neighbours
 is a pair of some item, which is looked up for all words at once before the automaton is stepped.
 
-Items are split over automata of at most ``shard_words`` words each. An automaton is all that is
-broadcast at once; each further one is a further step over the texts with the same result columns.
+Items are split over automata of at most ``shard_words`` words each, so the driver builds and
+broadcasts one at a time. A slice of texts goes through all of them in one step.
 """
 
 from __future__ import annotations
@@ -18,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.tables import packed, unpacked
-from rowloom.llm.words import ALNUM_LOWER, slices, split_words
+from rowloom.llm.tables import packed
+from rowloom.llm.words import ALNUM_LOWER, slices, small_batches, split_words
 
 WINDOW = 10
 SHARD_WORDS = 50_000
 RESULT = "struct<n_words:bigint,starts:array<int>,ends:array<int>,items:array<string>>"
 KIND = pa.struct([("n_words", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
+CUT_RESULT = f"struct<leak:{RESULT},clean:string>"
+CUT_KIND = pa.struct([("leak", KIND), ("clean", pa.string())])
 
 
 class SuffixAutomaton:
@@ -173,44 +175,55 @@ def find_leaks(
     Null or empty texts have no words. Null item ids count as the id ''. Items that repeat count
     once for each different id. Without items nothing leaks.
     """
+    return _scanned(docs, items, text, item_id, item_text, window, shard_words, cut=False)
+
+
+def _scanned(docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, window: int, shard_words: int, cut: bool) -> DataFrame:
+    """``row``, ``text`` and ``leak``; with ``cut`` also ``clean``, the text without its leaks, null where it has none.
+
+    One step scans and cuts: every step in Python has a worker of its own in each task.
+    """
     spark = docs.sparkSession
-    out = docs.select(packed(docs), F.col(f"`{text}`").alias("text"), F.lit(None).cast(RESULT).alias("leak"))
-    for items_at_hand in _shards(items, item_id, item_text, shard_words):
-        scan = _scanner(spark.sparkContext.broadcast(SuffixAutomaton(items_at_hand, window)))
-        out = out.select("row", "text", F.arrow_udf(scan, RESULT)("text", "leak").alias("leak"))
-    return out
+    small_batches(spark)
+    automata = [spark.sparkContext.broadcast(SuffixAutomaton(held, window)) for held in _shards(items, item_id, item_text, shard_words)]
+    # a filter on a deterministic function's result would move below it and run it twice
+    scan = F.arrow_udf(_scanner(automata, cut), CUT_RESULT if cut else RESULT).asNondeterministic()
+    out = docs.select(packed(docs), F.col(f"`{text}`").alias("text"), scan(F.col(f"`{text}`")).alias("leak"))
+    return out.select("row", "text", "leak.leak", "leak.clean") if cut else out
+
+
+def _joined(old: dict, new: dict) -> dict:
+    """What two automata found in one text."""
+    both = merge([*zip(old["starts"], old["ends"], strict=True), *zip(new["starts"], new["ends"], strict=True)])
+    return new | {"starts": [a for a, _ in both], "ends": [b for _, b in both], "items": sorted({*old["items"], *new["items"]})}
 
 
-def _scanner(shared):
-    """A step over texts with one automaton, on top of what earlier ones found."""
+def _scanner(automata: list, cut: bool):
+    """Texts go through all automata, slice by slice."""
 
-    def scan(texts: pa.Array, earlier: pa.Array) -> pa.Array:
+    def scan(texts: pa.Array) -> pa.Array:
+        kind = CUT_KIND if cut else KIND
         parts = []
         for at, to in slices(texts):
-            found = shared.value.scan(texts.slice(at, to - at))
-            for old, new in zip(earlier.slice(at, to - at).to_pylist(), found, strict=True):
-                if old and old["starts"]:
-                    both = merge([*zip(old["starts"], old["ends"], strict=True), *zip(new["starts"], new["ends"], strict=True)])
-                    new |= {"starts": [a for a, _ in both], "ends": [b for _, b in both], "items": sorted({*old["items"], *new["items"]})}
-            parts.append(pa.array(found, type=KIND))
-        return pa.concat_arrays(parts) if parts else pa.array([], type=KIND)
+            part = texts.slice(at, to - at)
+            found = automata[0].value.scan(part)
+            for shared in automata[1:]:
+                found = [_joined(old, new) for old, new in zip(found, shared.value.scan(part), strict=True)]
+            if cut:
+                found = [{"leak": f, "clean": _cut(t.as_py(), f["starts"], f["ends"]) if f["starts"] else None} for t, f in zip(part, found, strict=True)]
+            parts.append(pa.array(found, type=kind))
+        return pa.concat_arrays(parts) if parts else pa.array([], type=kind)
 
     return scan
 
 
-def _cut(texts: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
-    out = []
-    for text, a, b in zip(texts, starts.to_pylist(), ends.to_pylist(), strict=True):
-        if not a:
-            out.append(text.as_py())
-            continue
-        words = split_words(pa.array([text.as_py()]), ALNUM_LOWER, hashed=False)
-        data, kept, at = words.data.tobytes(), [], 0
-        for i, j in zip(a, b, strict=True):
-            kept.append(data[at : words.start[i]])
-            at = words.end[j - 1]
-        out.append(b"".join([*kept, data[at:]]).decode())
-    return pa.array(out, type=pa.string())
+def _cut(text: str, starts: list[int], ends: list[int]) -> str:
+    words = split_words(pa.array([text]), ALNUM_LOWER, hashed=False)
+    data, kept, at = words.data.tobytes(), [], 0
+    for i, j in zip(starts, ends, strict=True):
+        kept.append(data[at : words.start[i]])
+        at = words.end[j - 1]
+    return b"".join([*kept, data[at:]]).decode()
 
 
 def remove_leaks(
@@ -221,9 +234,9 @@ def remove_leaks(
 
     Same columns as ``docs``. A document without leaks keeps its text unchanged, null included.
     """
-    found = find_leaks(docs, items, text, item_id, item_text, window, shard_words)
+    found = _scanned(docs, items, text, item_id, item_text, window, shard_words, cut=True)
     n_hit = F.aggregate(F.zip_with("leak.starts", "leak.ends", lambda a, b: b - a), F.lit(0), lambda x, y: x + y)
     kept = found.filter(n_hit <= F.col("leak.n_words") * max_coverage)
-    clean = F.when(F.size("leak.starts") == 0, F.col("text")).otherwise(F.arrow_udf(_cut, "string")("text", "leak.starts", "leak.ends"))
+    clean = F.when(F.size("leak.starts") == 0, F.col("text")).otherwise(F.col("clean"))
     cleaned = kept.select("row", clean.alias("clean"))
     return cleaned.select(*[F.col("clean").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

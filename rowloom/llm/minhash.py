@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.graph import components
 from rowloom.llm.sieve import bit_table, perhaps
-from rowloom.llm.words import SPACED_LOWER, joined, list_of, mix, slices, split_words
+from rowloom.llm.words import SPACED_LOWER, joined, list_of, mix, slices, small_batches, split_words
 from rowloom.operators.keys import apart
 from rowloom.session import materialize
 
@@ -166,6 +166,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     Pairs are confirmed on whole sets.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     digest = F.arrow_udf(_digest(size, rows, n_bands), DIGEST)(F.col(f"`{text}`"))
     seen = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"), digest.alias("d"))
     seen = materialize(seen.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text_hash", "d.*"), "digests")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.sieve import bit_table, look_up, perhaps
-from rowloom.llm.words import SPACED, Words, joined, slices, split_words
+from rowloom.llm.words import SPACED, Words, joined, slices, small_batches, split_words
 from rowloom.operators.keys import apart
 from rowloom.session import materialize
 
@@ -184,6 +184,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     A null text has no words. A null id is neither smaller nor larger than another: such rows lose nothing
     and take nothing. Rows with equal ids take nothing from each other; repeated rows get equal results.
     """
+    small_batches(docs.sparkSession)
     named = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in (keep if keep is not None else docs.columns)]).alias("row"), F.col(f"`{doc_id}`").cast("bigint").alias("id"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),

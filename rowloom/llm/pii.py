@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.words import ALNUM_LOWER, slices, split_words
+from rowloom.llm.words import ALNUM_LOWER, slices, small_batches, split_words
 from rowloom.session import materialize
 
 KINDS = ["email", "ip", "card", "phone", "term"]
@@ -165,6 +165,7 @@ def find_private(
     ``share``, the part of the entity's information it discloses, and ``drop``. Null texts are empty.
     Rows are told apart by a number of their own, so null or repeated ids do no harm.
     """
+    small_batches(docs.sparkSession)
     chosen = docs.select(*[F.col(f"`{c}`") for c in keep]) if keep is not None else docs
     scanned = docs.select(F.struct(*[F.col(f"`{c}`") for c in chosen.columns]).alias("row"), F.arrow_udf(_scan(near), SCAN)(F.col(f"`{text}`")).alias("s"))
     scanned = materialize(scanned.select(F.monotonically_increasing_id().alias("rid"), "row", "s.base", "s.near"), "pii-scan")
