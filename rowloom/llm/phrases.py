@@ -193,26 +193,25 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     twice = named.filter("id IS NOT NULL").groupBy("th", "check").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
     twice = materialize(twice, "copies")
     copied = bit_table(twice, "th")
-    first = bit_table(twice.select(F.xxhash64("least", "th").alias("v")), "v")
-    # later copies need no phrases of their own; the bit tables let all first ones pass
-    once = named.filter("id IS NOT NULL").filter(~perhaps(copied, F.col("th")) | perhaps(first, F.xxhash64("id", "th")))
+    split = named.withColumn("twice", perhaps(copied, F.col("th")))
+    single = split.filter(~F.col("twice")).select("row", "id", "text", "k", F.lit(False).alias("whole"))
+    lead = twice.select(apart("th").alias("t"), F.col("check").alias("c"), "least")
+    joined_to = split.filter("twice").join(lead, (F.col("th") == F.col("t")) & (F.col("check") == F.col("c")), "left")
+    copies = joined_to.select("row", "id", "text", "k", F.coalesce(F.col("least") < F.col("id"), F.lit(False)).alias("whole"))
+    # later copies need no phrases of their own; the join decides which rows these are
+    first = materialize(copies.filter("id IS NOT NULL AND NOT whole").select("id", "k", "text"), "first-copies")
+    once = single.filter("id IS NOT NULL").select("id", "k", "text").union(first)
     anchors = once.select("id", "text").mapInArrow(_anchor_rows(size, gram), "a bigint, d bigint")
     anchors = anchors.groupBy("a").agg(F.min("d").alias("least"), F.max("d").alias("most")).filter("least < most")
     anchors = bit_table(materialize(anchors.select("a"), "anchors"), "a")
-    rows = once.select("id", "k", "text")
-    phrases = rows.mapInArrow(_phrase_rows(size, gram, anchors, None), "h bigint, d bigint, k bigint")
+    phrases = once.mapInArrow(_phrase_rows(size, gram, anchors, None), "h bigint, d bigint, k bigint")
     phrases = phrases.groupBy("h").agg(F.min("d").alias("m"), F.max("d").alias("most")).filter("m < most")
     phrases = materialize(phrases.select("h", "m"), "phrases")
-    occurring = rows.mapInArrow(_phrase_rows(size, gram, anchors, bit_table(phrases, "h")), "h bigint, d bigint, k bigint").distinct()
+    occurring = once.mapInArrow(_phrase_rows(size, gram, anchors, bit_table(phrases, "h")), "h bigint, d bigint, k bigint").distinct()
     repeats = occurring.join(phrases.select(apart("h").alias("p"), "m"), (F.col("h") == F.col("p")) & (F.col("m") < F.col("d")))
     lists = repeats.groupBy("k").agg(F.collect_set(F.struct("h", "m")).alias("phrases"))  # no more than a text has words
     lists = materialize(lists, "phrases-by-text")
-    split = named.withColumn("twice", perhaps(copied, F.col("th")))
-    parts = [split.filter(~F.col("twice")).select("row", "id", "text", "k", F.lit(False).alias("whole"))]
-    lead = twice.select(apart("th").alias("t"), F.col("check").alias("c"), "least")
-    joined_to = split.filter("twice").join(lead, (F.col("th") == F.col("t")) & (F.col("check") == F.col("c")), "left")
-    parts.append(joined_to.select("row", "id", "text", "k", F.coalesce(F.col("least") < F.col("id"), F.lit(False)).alias("whole")))
-    every = parts[0].union(parts[1])
+    every = single.union(copies)
     every = every.withColumn("listed", perhaps(bit_table(lists, "k"), F.col("k")) & ~F.col("whole"))
     columns = ["row", "id", "text", "whole"]
     with_phrases = every.filter("listed").join(lists.select(apart("k").alias("q"), "phrases"), F.col("k") == F.col("q"), "left").select(*columns, "phrases")

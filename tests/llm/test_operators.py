@@ -214,6 +214,14 @@ def test_repeats_handle_odd_rows(odd, none):
     assert all(r.n_removed == 0 for r in got if r.row.doc_id is None) and phrases.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("full", [("th",), ("th", "a", "h", "k")])
+def test_repeats_do_not_depend_on_bit_tables(spark, sf_dir, monkeypatch, full):
+    """A table full of ones lets all rows pass; no row may be lost by it."""
+    real = phrases.bit_table
+    monkeypatch.setattr(phrases, "bit_table", lambda values, column: spark.sparkContext.broadcast(np.full(1 << 17, 255, np.uint8)) if column in full else real(values, column))
+    test_query_agrees_with_sql(spark, sf_dir, "op9_repeated_phrases")
+
+
 def test_leaks_are_cut(spark, odd, none):
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"), (2, "short item"), (3, None), (None, ""), (2, "short item")], "item_id bigint, text string")
     docs = spark.createDataFrame([(1, "x y Alpha, beta gamma delta epsilon zeta eta theta iota kappa! z q r s t u v w a b c"), (2, "alpha beta"), (3, "a Short-item b c d e"), (4, None)], "doc_id bigint, text string")
