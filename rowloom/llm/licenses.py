@@ -1,12 +1,15 @@
 """Licence notices by a trained paragraph classifier, confirmed against templates. DataFrame and SQL functions only.
 
-A paragraph is a line. Its features are its words and word pairs, hashed to ``FEATURES`` places. A sparse
+Texts are classified line by line and, so that a wrapped or embedded notice is seen whole, in windows of
+``WINDOW`` words over their paragraphs (parted by blank lines), which overlap by more than any template is
+long. Only windows with a word without which no template can be confirmed are looked at; this loses none.
+The features of a line or window are its words and word pairs, hashed to ``FEATURES`` places. A sparse
 multinomial logistic regression tells the families and ordinary text apart. It learns from the templates,
 alone and set among ordinary lines, and from ordinary lines without a template; the ordinary lines are a
-bounded sample of about ``SAMPLE_ROWS`` lines of the corpus, half of which is held out. On that half each
-family gets the least probability that ``CALIBRATE`` of the lines of other classes stay below. A line that
-looks like a licence but stays below is of the class ``unknown``. A family counts only when the line also
-holds ``CONFIRM`` of the word pairs of one of its templates.
+bounded sample of about ``SAMPLE_ROWS`` of the distinct lines of the corpus, half of which is held out. On
+that half each family gets the least probability that ``CALIBRATE`` of the lines of other classes stay
+below. What looks like a licence but stays below is of the class ``unknown``. A family counts only when the
+line or window also holds ``CONFIRM`` of the word pairs of one of its templates.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ FEATURES = 1 << 13
 SAMPLE_ROWS = 1500
 CALIBRATE = 0.999
 CONFIRM = 0.8
+WINDOW, STEP = 48, 24
 OTHER, UNKNOWN = "other", "unknown"
 
 # fixed values: notices in common use, by family
@@ -39,6 +43,7 @@ TEMPLATES = [
     ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
     ("gpl-3.0", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
     ("mit", "Released under the MIT License"),
+    ("mit", "The MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 ]
@@ -59,10 +64,39 @@ def lines_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: F.trim(line) != "")
 
 
+def _wanted(template: str) -> list[str]:
+    words = "".join(c if c.isascii() and c.isalnum() else " " for c in template.lower()).split()
+    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
+
+
+def _needed() -> str:
+    """A pattern of words: without any of them, each template lacks too many pairs to be confirmed."""
+    needed = set()
+    for _, template in TEMPLATES:
+        left = _wanted(template)
+        least = CONFIRM * len(left)
+        for word in sorted({w for p in left for w in p.split()}, key=lambda w: (-len(w), w)):
+            if len(left) < least:
+                break
+            left = [p for p in left if word not in p.split()]
+            needed.add(word)
+    return "|".join(sorted(needed))
+
+
+def windows_of(text: Column) -> Column:
+    """Overlapping windows of words over the paragraphs of a text that are more than one line of ``WINDOW`` words."""
+    text = F.lower(F.coalesce(text, F.lit("")))
+    parts = F.filter(F.split(text, r"\n\s*\n"), lambda p: p.rlike(_needed()))
+    parts = F.transform(parts, lambda p: F.struct(_words(p).alias("w"), F.trim(p, F.lit("\n")).contains("\n").alias("wrapped")))
+    parts = F.filter(parts, lambda p: (F.size(p["w"]) > WINDOW) | p["wrapped"])
+    cut = lambda p: F.transform(F.sequence(F.lit(0), F.greatest(F.size(p["w"]) - STEP - 1, F.lit(0)), F.lit(STEP)), lambda i: F.array_join(F.slice(p["w"], i + 1, WINDOW), " "))
+    windows = F.filter(F.flatten(F.transform(parts, cut)), lambda w: w.rlike(_needed()))
+    return F.when(text.rlike(_needed()), windows).otherwise(F.array().cast("array<string>"))
+
+
 def _overlap(pairs: Column, template: str) -> Column:
     """Share of a template's word pairs that are in ``pairs``."""
-    words = "".join(c if c.isascii() and c.isalnum() else " " for c in template.lower()).split()
-    wanted = list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
+    wanted = _wanted(template)
     return F.size(F.array_intersect(pairs, F.array(*[F.lit(p) for p in wanted]))) / len(wanted)
 
 
@@ -76,7 +110,7 @@ def _featured(lines: DataFrame) -> DataFrame:
 def train(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS):
     """The fitted model and the least probability of every family."""
     lines = docs.select(F.explode(lines_of(F.col(f"`{text}`"))).alias("line")).withColumn("h", F.xxhash64("line"))
-    n = docs.select(F.coalesce(F.sum(F.size(lines_of(F.col(f"`{text}`")))), F.lit(0)).alias("n")).first().n
+    n = lines.agg(F.approx_count_distinct("h").alias("n")).first().n
     sample = lines.filter(F.pmod("h", F.lit(max(n, 1))) < sample_rows).dropDuplicates(["line"])
     plain = materialize(sample.select("line", "h"), "plain-lines")
     templates = F.array(*[F.struct(F.lit(float(FAMILIES.index(f))).alias("label"), F.lit(t).alias("notice")) for f, t in TEMPLATES])
@@ -96,16 +130,22 @@ def train(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS):
     return fitted, [0.5, *[max(0.5, limits[f"l{i}"] or 0.5) for i in range(1, known)]]
 
 
+def _units(text: Column) -> Column:
+    marked = lambda units, wide: F.transform(units, lambda x: F.struct(x.alias("line"), F.lit(wide).alias("wide")))
+    return F.concat(marked(lines_of(text), False), marked(windows_of(text), True))
+
+
 def find_licenses(docs: DataFrame, text: str = "text", keep: list[str] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``row`` with ``n_lines``, ``families`` (confirmed, sorted), ``n_licensed``, ``n_unknown`` and ``probability``.
 
-    A null or blank text has no lines. ``probability`` is the largest of the confirmed lines, null without one.
+    A null or blank text has no lines. ``n_licensed`` counts confirmed lines, and families that only windows
+    confirm; ``n_unknown`` counts lines. ``probability`` is the largest of what is confirmed, null without.
     Every row has a result of its own, repeated rows and null ids included.
     """
     fitted, limits = train(docs, text, sample_rows)
     row = F.struct(*[F.col(f"`{c}`") for c in (keep if keep is not None else docs.columns)])
-    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), row.alias("row"), lines_of(F.col(f"`{text}`")).alias("lines"))
-    lines = numbered.select("rid", "row", F.explode_outer("lines").alias("line"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), row.alias("row"), _units(F.col(f"`{text}`")).alias("units"))
+    lines = numbered.select("rid", "row", F.explode_outer("units").alias("u")).select("rid", "row", F.col("u.line").alias("line"), F.coalesce("u.wide", F.lit(False)).alias("wide"))
     scored = fitted.transform(_featured(lines.withColumn("blank", F.col("line").isNull()).withColumn("line", F.coalesce("line", F.lit("")))))
     p = vector_to_array("probability")
     best = F.col("prediction").cast("int")
@@ -114,10 +154,13 @@ def find_licenses(docs: DataFrame, text: str = "text", keep: list[str] | None =
     )
     sure = p[best] >= F.element_at(F.array(*[F.lit(x) for x in limits]), best + 1)
     family = F.when(F.col("blank") | (best == 0), OTHER).when(sure & confirmed, F.element_at(F.array(*[F.lit(f) for f in FAMILIES]), best + 1)).otherwise(UNKNOWN)
-    judged = scored.select("rid", "row", "blank", family.alias("family"), p[best].alias("p"))
+    judged = scored.select("rid", "row", "blank", "wide", family.alias("family"), p[best].alias("p"))
     named = ~F.col("family").isin(OTHER, UNKNOWN)
+    wide = F.col("wide")
     found = judged.groupBy("rid").agg(
-        F.first("row").alias("row"), F.count(F.when(~F.col("blank"), 1)).alias("n_lines"), F.array_sort(F.collect_set(F.when(named, F.col("family")))).alias("families"),
-        F.count(F.when(named, 1)).alias("n_licensed"), F.count(F.when(F.col("family") == UNKNOWN, 1)).alias("n_unknown"), F.max(F.when(named, F.col("p"))).alias("probability"),
+        F.first("row").alias("row"), F.count(F.when(~F.col("blank") & ~wide, 1)).alias("n_lines"), F.array_sort(F.collect_set(F.when(named, F.col("family")))).alias("families"),
+        F.count(F.when(named & ~wide, 1)).alias("n_licensed"), F.collect_set(F.when(named & ~wide, F.col("family"))).alias("by_line"),
+        F.count(F.when((F.col("family") == UNKNOWN) & ~wide, 1)).alias("n_unknown"), F.max(F.when(named, F.col("p"))).alias("probability"),
     )
-    return found.drop("rid")
+    only_wide = F.size(F.array_except("families", "by_line"))
+    return found.select("row", "n_lines", "families", (F.col("n_licensed") + only_wide).alias("n_licensed"), "n_unknown", "probability")

@@ -178,6 +178,20 @@ def test_licences_are_found(spark, sf_dir):
     assert all(bool(got[i].families) == bool(re.search("Released under the MIT|icensed under", t)) for i, t in texts.items())
 
 
+def test_wrapped_licences_are_found(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").filter("length(text) < 3000")
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    mit = "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the Software), to deal"
+    apache = "x = 1\n\n * you may not use this file except in compliance with the License.\n * You may obtain a copy of the License at\n\nx = 2"
+    inside = "one two three four " * 60 + bsd.replace("\n", " ") + " five six seven eight" * 60
+    apart = "Redistribution and use in source and binary forms, with or without\n\nmodification, are permitted provided that the following conditions are met"
+    texts = [bsd, mit, apache, inside, apart, "The MIT License"]
+    more = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.row.doc_id: r for r in licenses.find_licenses(docs.union(more)).filter("row.doc_id < 0").collect()}
+    assert [got[-1 - i].families for i in range(len(texts))] == [["bsd"], ["mit"], ["apache-2.0"], ["bsd"], [], ["mit"]]
+    assert [got[-1 - i].n_lines for i in range(3)] == [3, 2, 4]
+
+
 def test_hidden_markov_scores(spark, sf_dir, odd, none):
     got = QUERIES["op8_hidden_markov"](spark, sf_dir).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
