@@ -14,6 +14,9 @@ line or window also holds ``CONFIRM`` of the word pairs of one of its templates.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -69,8 +72,8 @@ def _wanted(template: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
 
 
-def _needed() -> str:
-    """A pattern of words: without any of them, each template lacks too many pairs to be confirmed."""
+def _needed(text: Column) -> Column:
+    """Whether one of these words is in the text: without any of them, each template lacks too many pairs to be confirmed."""
     needed = set()
     for _, template in TEMPLATES:
         left = _wanted(template)
@@ -80,18 +83,18 @@ def _needed() -> str:
                 break
             left = [p for p in left if word not in p.split()]
             needed.add(word)
-    return "|".join(sorted(needed))
+    return reduce(or_, [text.contains(w) for w in sorted(needed) if not any(v != w and v in w for v in needed)])
 
 
 def windows_of(text: Column) -> Column:
     """Overlapping windows of words over the paragraphs of a text that are more than one line of ``WINDOW`` words."""
     text = F.lower(F.coalesce(text, F.lit("")))
-    parts = F.filter(F.split(text, r"\n\s*\n"), lambda p: p.rlike(_needed()))
+    parts = F.filter(F.split(text, r"\n\s*\n"), lambda p: _needed(p))
     parts = F.transform(parts, lambda p: F.struct(_words(p).alias("w"), F.trim(p, F.lit("\n")).contains("\n").alias("wrapped")))
     parts = F.filter(parts, lambda p: (F.size(p["w"]) > WINDOW) | p["wrapped"])
     cut = lambda p: F.transform(F.sequence(F.lit(0), F.greatest(F.size(p["w"]) - STEP - 1, F.lit(0)), F.lit(STEP)), lambda i: F.array_join(F.slice(p["w"], i + 1, WINDOW), " "))
-    windows = F.filter(F.flatten(F.transform(parts, cut)), lambda w: w.rlike(_needed()))
-    return F.when(text.rlike(_needed()), windows).otherwise(F.array().cast("array<string>"))
+    windows = F.filter(F.flatten(F.transform(parts, cut)), lambda w: _needed(w))
+    return F.when(_needed(text), windows).otherwise(F.array().cast("array<string>"))
 
 
 def _overlap(pairs: Column, template: str) -> Column:
