@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, hmm, langid, licenses, minhash, mixing, phrases, pii, search, warc
+from rowloom.llm import decontaminate, hmm, langid, licenses, minhash, mixing, packing, phrases, pii, search, signatures, warc
 from rowloom.llm.tables import crc_of, table
 from rowloom.session import scratch_path
 
@@ -175,3 +176,35 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), F.col("leak.n_words").alias("n_words"), hits.alias("n_hit"), F.size("leak.items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("leak.items", ","), 256).alias("items_sha256"), (F.size("leak.starts") > 0).alias("contaminated"),
     )
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+g AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+m AS (SELECT doc_id, 25 + (75 * len(w) * g.n) // g.l AS m FROM d, g WHERE len(w) > 0),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, CAST(floor(1000 * ln((2 * g.n + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, g GROUP BY term, g.n),
+q AS (SELECT item_id, unnest(w) AS term FROM b),
+s AS (
+  SELECT item_id, tf.doc_id, CAST(sum(df.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * m.m))) AS BIGINT) AS score
+  FROM q JOIN tf ON tf.term = q.term JOIN df ON df.term = q.term JOIN m ON m.doc_id = tf.doc_id GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+@query("op12_signature_search", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = signatures.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("query_id", "item_id")
+
+
+@query("op13_pack_documents")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+    return pieces.select(F.col("row.doc_id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
