@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import decontaminate, hmm, langid, licenses, minhash, mixing, packing, phrases, pii, search, signatures, warc
+from rowloom.llm import decontaminate, gnat, hmm, langid, licenses, minhash, mixing, packing, phrases, pii, search, signatures, warc
 from rowloom.llm.tables import crc_of, table
 from rowloom.session import scratch_path
 
@@ -178,6 +178,28 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) for x in embedding] AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, CAST(list_dot_product(a.e, r.e) AS BIGINT) AS score
+  FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op11_hard_negatives", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return gnat.mine(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", label=label)
+
+
 OP12_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
