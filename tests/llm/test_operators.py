@@ -37,7 +37,7 @@ def none(spark):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_agrees_with_sql(spark, sf_dir, name):
     duck = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     found = duck.execute(SQL[name])
     columns = [d[0] for d in found.description]
