@@ -60,3 +60,12 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_fits(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate is within its own limit for broadcasts.
+
+    The estimate of written rows is the size of their files, so ask it of a ``materialize`` result.
+    """
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit

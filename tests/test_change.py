@@ -12,6 +12,14 @@ SCHEMA = "id int, v string"
 T0, T1, T2 = dt.datetime(2025, 1, 1), dt.datetime(2025, 2, 1), dt.datetime(2025, 3, 1)
 
 
+@pytest.fixture(params=["-1", "10MB"], autouse=True)
+def limit(spark, request):
+    """Every test with sources that are broadcast, and with sources that are too large for it."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.fixture
 def target(spark):
     return spark.createDataFrame([(1, "a"), (2, "b"), (2, "bb"), (None, "n")], SCHEMA)
@@ -64,6 +72,27 @@ def test_scd1_keeps_columns_of_the_target(spark, rows):
     assert rows(M.scd1(target, source, ["id"])) == [(1, "a", 1.0), (2, None, 2.0), (3, "c", None)]
 
 
+def test_source_is_evaluated_once(spark, rows):
+    """A source that gives other rows each time it is evaluated still gives one state."""
+    target = spark.range(1000).select(F.col("id").cast("int"), F.lit("t").alias("v"))
+    source = spark.range(500, 1500).select(F.col("id").cast("int"), F.uuid().alias("v"))
+    state = M.upsert(target, source, ["id"])
+    assert rows(state) == rows(state) and state.count() == 1500 and state.filter("v = 't'").count() == 500
+
+
+def test_many_rows_of_a_hot_key_are_updated_once_each(spark, rows):
+    hot = [(7, f"h{i}") for i in range(3000)] + [(None, "n")] * 500
+    target = spark.createDataFrame([*hot, *[(i, "o") for i in range(100, 300)]], SCHEMA).repartition(6)
+    source = spark.createDataFrame([(7, "H"), (100, "O"), (5000, "new"), (None, "k"), (None, "k")], SCHEMA)
+    expected = sorted([(7, "H")] * 3000 + [(100, "O"), (5000, "new")] + [(i, "o") for i in range(101, 300)], key=str)
+    got = M.upsert(target, source, ["id"])
+    assert sorted(map(tuple, got.filter("id IS NOT NULL").collect()), key=str) == expected
+    assert {(r.v, r["count"]) for r in got.filter("id IS NULL").groupBy("v").count().collect()} == {("n", 500), ("k", 2)}
+    gone = M.apply_deletes(target, source.withColumn("d", F.col("id").isin(7, 5000)), ["id"], "d")
+    assert gone.filter("id = 7 OR id = 5000").count() == 0 and gone.count() == 200 + 500 + 2
+    assert M.hot_keys(target, ["id"], 8).count() == 1 and M.hot_keys(target.filter("id >= 100"), ["id"], 8) is None
+
+
 def test_deletes_by_flag(spark, rows):
     target = spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA)
     source = spark.createDataFrame([(1, "x", True), (2, "y", None), (3, "z", False), (4, "q", True)], SCHEMA + ", gone boolean")

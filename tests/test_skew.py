@@ -67,6 +67,22 @@ def test_update_splits_a_hot_key_of_the_target(spark, large, lines):
     assert len(rows) == 60000 and all(r.l_returnflag == "Z" for r in rows)
 
 
+def test_upsert_deals_out_a_hot_key_of_the_target(spark, large, lines):
+    target = lines.select("k", F.col("l_partkey").alias("v"))
+    source = target.select("k").distinct().filter("k % 2 = 0").select("k", F.lit(-1).cast("bigint").alias("v"))
+    source = source.unionByName(spark.range(10**9, 10**9 + 500).select(F.col("id").alias("k"), F.lit(-2).cast("bigint").alias("v")))
+    merged = M.upsert(target, source, ["k"])
+    plan, rows = _final_plan(merged)
+    final = plan.split("Initial Plan")[0]
+    assert final.count("FullOuter") == 1 and final.count("Exchange hashpartitioning") == 2  # each side moves once
+    assert len(rows) == 60500 and all(r.v == -2 if r.k >= 10**9 else (r.v == -1) == (r.k % 2 == 0) for r in rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    met = M._Changes(source, ["k"])._met(target)
+    dealt = [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(dealt) < 60500 / 5  # a third of the rows has one key
+
+
 def test_first_and_diff_send_little_per_task(spark, large, lines):
     newest = first_per_key(lines, ["k"], [F.desc("l_shipdate"), "l_partkey", "l_suppkey", "l_linenumber"])
     assert newest.count() == lines.select("k").distinct().count()
