@@ -73,6 +73,18 @@ def one_row_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[s
     return keyed
 
 
+def single_rows(keyed: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None) -> DataFrame:
+    """As ``one_row_per_key`` for rows that have a key, but a repeated key fails the job that reads the rows."""
+    if order_by:
+        return first_per_key(keyed, keys, order_by)
+    seen = keyed.withColumn("_seen", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    return seen.filter(F.when(F.col("_seen") > 1, F.raise_error(_repeated(keys)).cast("boolean")).otherwise(F.lit(True))).drop("_seen")
+
+
+def _repeated(keys: Sequence[str | Column]) -> Column:
+    return F.concat(F.lit("several source rows for key "), F.to_json(F.struct(*keys)), F.lit("; give an order to choose one"))
+
+
 def _check_single(keyed: DataFrame, keys: Sequence[str]) -> None:
     """An error when a key repeats."""
     per_key = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -111,8 +123,7 @@ class _Changes:
         names = [f"_k{i}" for i in range(len(self.keys))]
         if self.single:
             return rows.withColumn("_hit", F.lit(True))
-        key = F.to_json(F.struct(*[F.col(n).alias(k) for n, k in zip(names, self.keys, strict=True)]))
-        message = F.concat(F.lit("several source rows for key "), key, F.lit("; give an order to choose one"))
+        message = _repeated([F.col(n).alias(k) for n, k in zip(names, self.keys, strict=True)])
         # partitioned as the join wants it
         seen = F.count(F.lit(1)).over(Window.partitionBy(*names, "_ks"))
         return rows.withColumn("_hit", F.when(seen > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))

@@ -136,9 +136,9 @@ def surrogate_key(
     order_by: Sequence[str | Column] = (),
     existing: DataFrame | None = None,
     step: int = 1,
+    start: int | Column = 1,
 ) -> DataFrame:
-    """Consecutive keys that go on after the highest key of ``existing``."""
-    start: int | Column = 1
+    """Consecutive keys from ``start`` on, or after the highest key of ``existing``."""
     if existing is not None:
         start = existing.agg(F.coalesce(F.max(name), F.lit(0)) + 1).scalar()
     if step == 1:

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from rowloom import constants as C
 from rowloom.operators import change as M
 from rowloom.operators import incremental as I
-from rowloom.operators.history import scd2
+from rowloom.operators.history import classify, load_history, read_history, scd2
 from rowloom.plans.registry import Tables, query
+from rowloom.session import scratch_path
 
 NOW = dt.datetime(2026, 1, 1, 6, 30)
 LOADED_TO = "2000-01-01 00:00:00"
@@ -161,6 +162,37 @@ def scd2_rerun(t: Tables) -> DataFrame:
     return scd2(once, _snapshot(t), now=dt.datetime(2026, 2, 1), source_name="third", **_SCD2)
 
 
+@query("scd2_stored", f"WITH {_FIRST_STATE}, {_SECOND_STATE} SELECT * FROM closed UNION ALL SELECT * FROM opened")
+def scd2_stored(t: Tables) -> DataFrame:
+    """The same three loads into a stored history, whose closed versions stay as they are."""
+    path = scratch_path(t.spark, "history")
+    first = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    for rows, now, name in ((first, FIRST, "first"), (_snapshot(t), NOW, "second"), (_snapshot(t), dt.datetime(2026, 2, 1), "third")):
+        load_history(t.spark, path, rows, now=now, source_name=name, **_SCD2)
+    return read_history(t.spark, path)
+
+
+@query("scd2_as_of", f"WITH {_FIRST_STATE} SELECT * FROM d")
+def scd2_as_of(t: Tables) -> DataFrame:
+    """A stored history as it was after its first load."""
+    path = scratch_path(t.spark, "history")
+    first = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    for rows, now, name in ((first, FIRST, "first"), (_snapshot(t), NOW, "second")):
+        load_history(t.spark, path, rows, now=now, source_name=name, **_SCD2)
+    return read_history(t.spark, path, 1)
+
+
+@query("change_states", f"""
+WITH s AS {_SNAPSHOT}
+SELECT coalesce(s.c_custkey, c.c_custkey) AS c_custkey, CASE WHEN c.c_custkey IS NULL THEN 'new' WHEN s.c_custkey IS NULL THEN 'deleted'
+  WHEN (c.c_name, c.c_nationkey, c.c_mktsegment) IS DISTINCT FROM (s.c_name, s.c_nationkey, s.c_mktsegment) THEN 'changed' ELSE 'unchanged' END AS state
+FROM customer c FULL JOIN s ON s.c_custkey = c.c_custkey
+""")
+def change_states(t: Tables) -> DataFrame:
+    found = classify(t.customer, _snapshot(t), ["c_custkey"], _SCD2["tracked"])
+    return found.select(F.coalesce("new.c_custkey", "old.c_custkey").alias("c_custkey"), F.col("_state").alias("state"))
+
+
 def _control(t: Tables) -> DataFrame:
     """Control table with the newest date of the target."""
     return _target(t).agg(F.max("o_orderdate").cast("string").alias("last_watermark")).select(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from rowloom import constants as C
 from rowloom.operators import change as M
 from rowloom.operators import incremental as I
-from rowloom.operators.history import scd2
+from rowloom.operators.history import history_log, load_history, read_history, scd2
 
 SCHEMA = "id int, v string"
 T0, T1, T2 = dt.datetime(2025, 1, 1), dt.datetime(2025, 2, 1), dt.datetime(2025, 3, 1)
@@ -133,6 +133,45 @@ def test_scd2_can_leave_missing_keys_open_and_track_some_columns(spark):
     assert day2.filter(C.IS_CURRENT).count() == 2 and day2.count() == 2
 
 
+def _files(path):
+    return {str(f.relative_to(path)): (f.stat().st_mtime_ns, f.read_bytes()) for f in sorted(path.rglob("*.parquet"))}
+
+
+def test_stored_history_agrees_and_leaves_closed_versions_alone(spark, tmp_path):
+    options = {"key": "id", "surrogate": "sk", "source_name": "s"}
+    snapshots = [[(1, "a"), (2, "b"), (4, None), (None, "k")], [(1, "A"), (3, "c"), (4, None)], [(1, "A"), (2, "b"), (3, "c"), (4, "d")], [(1, "A"), (2, "b"), (3, "c"), (4, "d")], []]
+    state, path = None, f"{tmp_path}/h"
+    for n, (rows_, now) in enumerate(zip(snapshots, (T0, T1, T2, dt.datetime(2025, 4, 1), dt.datetime(2025, 5, 1)), strict=True), 1):
+        source = spark.createDataFrame(rows_, SCHEMA)
+        before = _files(tmp_path / "h" / "closed") if n > 2 else {}
+        state = scd2(state, source, now=now, **options)
+        assert load_history(spark, path, source, now=now, **options) == n
+        assert _dim(read_history(spark, path)) == _dim(state)
+        after = _files(tmp_path / "h" / "closed") if n > 2 else {}
+        assert all(after[f] == before[f] for f in before)
+    log = {r.load: (r.opened, r.closed) for r in history_log(spark, path).collect()}
+    assert log == {1: (4, 0), 2: (2, 3), 3: (2, 1), 4: (0, 0), 5: (0, 4)}
+    assert len(_dim(read_history(spark, path, 1))) == 4 and len(_dim(read_history(spark, path, 3))) == 8
+    with pytest.raises(ValueError):
+        read_history(spark, path, 9)
+
+
+def test_a_load_that_fails_leaves_the_history_as_it_was(spark, tmp_path):
+    options = {"key": "id", "surrogate": "sk"}
+    path = f"{tmp_path}/h"
+    load_history(spark, path, spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), now=T0, **options)
+    good = _dim(read_history(spark, path))
+    # files of a second load that never came to its log
+    read_history(spark, path).write.parquet(f"{path}/closed/load=2")
+    read_history(spark, path).write.parquet(f"{path}/current/load=2")
+    assert _dim(read_history(spark, path)) == good
+    with pytest.raises(Exception, match="several source rows for key"):
+        load_history(spark, path, spark.createDataFrame([(1, "x"), (1, "y")], SCHEMA), now=T1, **options)
+    assert _dim(read_history(spark, path)) == good
+    load_history(spark, path, spark.createDataFrame([(1, "a"), (2, "B")], SCHEMA), now=T1, **options)
+    assert [(r[0], r[1], r[4]) for r in _dim(read_history(spark, path))] == [(1, "a", True), (2, "b", False), (2, "B", True)]
+
+
 def _orders(spark, *items):
     return spark.createDataFrame([(i, dt.datetime.fromisoformat(at)) for i, at in items], "id int, at timestamp_ntz")
 
