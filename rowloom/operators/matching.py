@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -12,6 +13,12 @@ from rowloom.operators.keys import apart, first_per_key
 from rowloom.session import materialize
 
 
+# deletion variants of a text at most; longer texts are found by their segments
+VARIANTS = 4096
+# pairs that one key may bring forth before its texts are told apart further
+HOT_PAIRS = 10_000
+
+
 def deletion_variants(value: Column, distance: int) -> Column:
     """The value and everything left after deleting up to ``distance`` characters.
 
@@ -33,18 +40,121 @@ def deletion_variants(value: Column, distance: int) -> Column:
     return reached
 
 
+def short_length(distance: int) -> int:
+    """The longest text with at most ``VARIANTS`` deletion variants."""
+    n = 0
+    while sum(math.comb(n + 1, k) for k in range(distance + 1)) <= VARIANTS and n < VARIANTS:
+        n += 1
+    return n
+
+
+def _cut(rest: Column, size: Column, i: Column, start: Column, length: Column) -> Column:
+    """The part of a text as a key, with the text without it."""
+    part = F.xxhash64(size, i, F.substring(rest, start + 1, length))
+    return F.struct(part.alias("key"), F.concat(F.substring(rest, F.lit(1), start), F.substring(rest, start + length + 1, F.length(rest))).alias("rest"))
+
+
+def _bounds(size: Column, i: Column, parts: int) -> tuple[Column, Column]:
+    """Start and length of segment ``i`` of a text of so many characters."""
+    start = (size * i / parts).cast("int")
+    return start, (size * (i + 1) / parts).cast("int") - start
+
+
+def _segments(rest: Column, distance: int) -> Column:
+    """The text cut into ``distance`` + 1 segments: a key of each, and the text without it."""
+    size = F.length(rest)
+    return F.transform(F.sequence(F.lit(0), F.lit(distance)), lambda i: _cut(rest, size, i, *_bounds(size, i, distance + 1)))
+
+
+def _substrings(rest: Column, distance: int, longest: int) -> Column:
+    """Where segments of texts of like length may stand in this one, as keys and the text without them.
+
+    For a pair within the distance some segment i is whole, with at most i edits before it and
+    ``distance`` - i after it, which bounds its place from both ends (Li et al., "Pass-Join", 2011).
+    The other text is up to ``longest`` characters longer and up to ``distance`` shorter.
+    """
+    own, parts = F.length(rest), distance + 1
+
+    def at_length(more: Column, i: Column) -> Column:
+        size = own + more
+        start, length = _bounds(size, i, parts)
+        low = F.greatest(start - i, start - more - (distance - i), F.lit(0))
+        high = F.least(start + i, start - more + (distance - i), own - length)
+        places = F.when((low <= high) & (size >= parts), F.sequence(low, F.greatest(low, high))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda at: _cut(rest, size, i, at, length))
+
+    def at_segment(i: Column) -> Column:
+        return F.flatten(F.transform(F.sequence(F.lit(-distance), F.lit(longest)), lambda more: at_length(more, i)))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(distance)), at_segment))
+
+
+def _near(a: DataFrame, b: DataFrame, distance: int, single: bool) -> DataFrame:
+    """Pairs (``left_value``, ``right_value``, ``distance``) of written distinct texts, column ``value``.
+
+    With ``single`` both are the same table, and a pair comes once, the lesser text at the left.
+    Every candidate is verified, so keys may clash. Texts that share a common key, a passage that many
+    have, say, are cut again without it, until keys are rare or what is left is short.
+    """
+    short = short_length(distance)
+    verified: list[DataFrame] = []
+
+    def verify(left: DataFrame, right: DataFrame) -> None:
+        both = left.select("key", F.col("value").alias("left_value")).join(right.select("key", F.col("value").alias("right_value")), "key")
+        if single:
+            both = both.filter("left_value <> right_value").select("key", F.least("left_value", "right_value").alias("left_value"), F.greatest("left_value", "right_value").alias("right_value"))
+        both = both.select("left_value", "right_value")
+        near = both.withColumn("distance", F.levenshtein("left_value", "right_value", distance)).filter("distance >= 0")
+        verified.append(near)
+
+    def by_variants(df: DataFrame) -> DataFrame:
+        hashed = F.transform(deletion_variants(F.col("rest"), distance), lambda v: F.xxhash64(v))
+        return df.filter(F.length("rest") <= short + distance).select("value", F.explode(F.array_distinct(hashed)).alias("key"))
+
+    left, right = (df.select("value", F.col("value").alias("rest")) for df in (a, b))
+    while True:
+        variants = by_variants(left)
+        verify(variants, variants if single else by_variants(right))
+        left, right = (df.filter(F.length("rest") > short - distance) for df in (left, right))
+        if left.isEmpty() or right.isEmpty():
+            break
+        left = left.select("value", F.explode(_substrings(F.col("rest"), distance, 0 if single else distance)).alias("s"))
+        right = right.select("value", F.explode(_segments(F.col("rest"), distance)).alias("s"))
+        left, right = (materialize(df.select("value", "s.key", "s.rest"), "segments") for df in (left, right))
+        counts = left.groupBy("key").agg(F.count(F.lit(1)).alias("n")).join(right.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "key")
+        hot = materialize(counts.filter(F.col("n") * F.col("m") > HOT_PAIRS).select("key"), "hot-keys")
+        if hot.isEmpty():
+            verify(left, right)
+            break
+        verify(left.join(hot, "key", "left_anti"), right.join(hot, "key", "left_anti"))
+        # of such a pair the texts without the common segment are within the distance as well
+        left, right = (_spread(materialize(df.join(hot, "key", "left_semi").select("value", "rest").distinct(), "rests")) for df in (left, right))
+    return reduce(DataFrame.unionByName, verified).distinct()
+
+
+def _texts(df: DataFrame, column: str) -> DataFrame:
+    return _spread(materialize(df.select(F.col(f"`{column}`").alias("value")).filter("value is not null").distinct(), "texts"))
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Few bytes that much is made of: over all cores, where the files alone would not reach them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+
+
 def similar_values(left: DataFrame, right: DataFrame, left_col: str, right_col: str, max_distance: int) -> DataFrame:
     """Pairs of distinct values within an edit distance, with that distance.
 
-    Works on distinct values, so copies cost nothing; the pairs found are exact.
+    Works on distinct values, so copies cost nothing; the pairs found are exact. Short texts meet by
+    hashes of what deletions leave of them, long ones by whole segments.
     """
-    a = left.select(F.col(left_col).alias("left_value")).filter("left_value is not null").distinct()
-    b = right.select(F.col(right_col).alias("right_value")).filter("right_value is not null").distinct()
-    a = a.select("left_value", F.explode(deletion_variants(F.col("left_value"), max_distance)).alias("_variant"))
-    b = b.select("right_value", F.explode(deletion_variants(F.col("right_value"), max_distance)).alias("_variant"))
-    pairs = a.join(b, "_variant").select("left_value", "right_value").distinct()
-    distance = F.levenshtein("left_value", "right_value", max_distance)
-    return pairs.withColumn("distance", distance).filter("distance >= 0")
+    return _near(_texts(left, left_col), _texts(right, right_col), max_distance, single=False)
+
+
+def similar_pairs(df: DataFrame, column: str, max_distance: int) -> DataFrame:
+    """As ``similar_values`` of a table with itself, but every unordered pair of unlike values once."""
+    texts = _texts(df, column)
+    return _near(texts, texts, max_distance, single=True)
 
 
 def fuzzy_lookup(
@@ -102,7 +212,10 @@ def _small_star(pairs: DataFrame) -> DataFrame:
 def match_groups(df: DataFrame, column: str, max_distance: int, group: str = "match_group") -> DataFrame:
     """Add to each row the group of its value: values linked by edit distance, directly or
     through others. Rows without a value have no group."""
-    pairs = similar_values(df, df, column, column, max_distance)
+    texts = _texts(df, column)
+    pairs = _near(texts, texts, max_distance, single=True).select("left_value", "right_value")
+    # a value without a like is a group of its own
+    pairs = pairs.unionByName(texts.select(F.col("value").alias("left_value"), F.col("value").alias("right_value")))
     groups = connected_groups(pairs, "left_value", "right_value")
     groups = groups.select(apart("node").alias("_node"), F.col("group").alias(group))
     return df.join(groups, df[column] == groups["_node"], "left").drop("_node")

@@ -52,6 +52,29 @@ def data_diff(t: Tables) -> DataFrame:
     return Q.diff_summary(rows, "orders", ["o_orderkey"], samples=0)
 
 
+@query("data_diff_tree", f"SELECT * FROM ({_STATE}) WHERE state <> 'matched'")
+def data_diff_tree(t: Tables) -> DataFrame:
+    return Q.diff_tree(t.orders.select(*COLUMNS), _copy(t), ["o_orderkey"]).rows
+
+
+_TOUCHED = "(SELECT * REPLACE (CASE WHEN o_orderkey % 5000 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM orders WHERE o_orderkey % 7000 <> 5)"
+
+
+@query("data_diff_tree_summary", f"""
+SELECT 'orders' AS entity, count(*) AS source_rows, count(c.o_orderkey) AS target_rows,
+  count(*) FILTER (s.o_totalprice = c.o_totalprice) AS matched, count(*) FILTER (s.o_totalprice <> c.o_totalprice) AS mismatched,
+  count(*) FILTER (c.o_orderkey IS NULL) AS missing, CAST(0 AS BIGINT) AS extra, CAST(0 AS BIGINT) AS repeated_keys,
+  round(count(*) FILTER (s.o_totalprice = c.o_totalprice) / greatest(count(*), 1) * 100, 2) AS match_rate_pct,
+  count(*) FILTER (s.o_totalprice = c.o_totalprice) = count(*) AS passed
+FROM orders s LEFT JOIN {_TOUCHED} c ON s.o_orderkey = c.o_orderkey
+""")
+def data_diff_tree_summary(t: Tables) -> DataFrame:
+    """A copy with a few orders changed or lost."""
+    price = F.when(F.col("o_orderkey") % 5000 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    copy = t.orders.filter("o_orderkey % 7000 <> 5").withColumn("o_totalprice", price)
+    return Q.tree_summary(Q.diff_tree(t.orders, copy, ["o_orderkey"]), "orders", ["o_orderkey"], samples=0)
+
+
 @query("data_diff_repeats", """
 SELECT a.l_orderkey, a.n AS source_rows, coalesce(b.n, 0) AS target_rows,
        CASE WHEN b.n IS NULL THEN 'missing' WHEN a.n = b.n THEN 'matched' ELSE 'mismatched' END AS state

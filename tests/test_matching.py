@@ -3,6 +3,9 @@
 import random
 import string
 
+import duckdb
+import pytest
+
 from rowloom.operators import matching as X
 
 
@@ -86,3 +89,45 @@ def test_survivors(spark, rows):
     assert rows(X.survivors(df, ["g"], rules)) == [(1, "Albert", "y", 3), (2, None, None, None), (None, "N", "n", 1)]
     newest = X.survivors(df, ["g"], {"name": ("latest", "at")})
     assert rows(newest) == [(1, "Albert"), (2, None), (None, "N")]
+
+
+def _near_plainly(left, right, distance):
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE a AS SELECT unnest(?) AS x", [sorted(set(left))])
+    duck.execute("CREATE TABLE b AS SELECT unnest(?) AS y", [sorted(set(right))])
+    return sorted(duck.execute("SELECT x, y, levenshtein(x, y) FROM a, b WHERE abs(len(x) - len(y)) <= $1 AND levenshtein(x, y) <= $1", [distance]).fetchall())
+
+
+def _changed(draw, text, n):
+    for _ in range(n):
+        at = draw.randrange(len(text) + 1)
+        text = draw.choice([text[:at] + draw.choice("abxyz") + text[at:], text[:at] + text[at + 1 :], text[:at] + draw.choice("abxyz") + text[at + 1 :]])
+    return text
+
+
+@pytest.mark.parametrize("distance", [1, 3])
+def test_segments_find_all_pairs(spark, monkeypatch, distance):
+    """Texts around the border between variants and segments, and keys that many texts have."""
+    draw = random.Random(distance)
+    monkeypatch.setattr(X, "VARIANTS", {1: 12, 2: 60, 3: 200}[distance])
+    monkeypatch.setattr(X, "HOT_PAIRS", 400)
+    base = ["".join(draw.choices("abc", k=draw.randint(0, 40))) for _ in range(60)]
+    values = base + [_changed(draw, draw.choice(base), draw.randint(1, distance + 1)) for _ in range(120)]
+    left, right = values[:110] + values[:5], values[60:]
+    a, b = (spark.createDataFrame([(v,) for v in [*vs, None]], "`my v` string") for vs in (left, right))
+    got = sorted(map(tuple, X.similar_values(a, b, "my v", "my v", distance).collect()))
+    assert got == _near_plainly(left, right, distance)
+    once = sorted(map(tuple, X.similar_pairs(a, "my v", distance).collect()))
+    assert once == [p for p in _near_plainly(left, left, distance) if p[0] < p[1]]
+
+
+def test_long_texts_with_a_common_passage(spark):
+    """Five hundred characters at distance 3; all texts share four fifths of them."""
+    draw = random.Random(8)
+    common = "".join(draw.choices("abcdefgh ", k=400))
+    base = [common + "".join(draw.choices("abcdefgh ", k=100)) for _ in range(400)]
+    values = base + [_changed(draw, v, 3) for v in base[:100]]
+    frame = spark.createDataFrame([(v,) for v in values], "v string")
+    pairs = X.similar_pairs(frame, "v", 3)
+    assert sorted(map(tuple, pairs.collect())) == [p for p in _near_plainly(values, values, 3) if p[0] < p[1]]
+    assert X.match_groups(frame, "v", 3).select("match_group").distinct().count() == 400

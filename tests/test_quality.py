@@ -120,3 +120,23 @@ def test_compare_files(spark, tmp_path, rows):
             (tmp_path / side / name).write_text(text)
     got = rows(Q.compare_files(spark, str(tmp_path / "l"), str(tmp_path / "r")))
     assert got == [("a", "same"), ("b", "different"), ("c", "left_only"), ("d", "right_only")]
+
+
+def test_tree_diff_finds_what_the_full_diff_finds(spark, rows):
+    base = spark.range(60_000).select((F.col("id") % 50_000).alias("id"), F.concat(F.lit("v"), "id").alias("v"), F.lit("x").alias("my col"))
+    kinds = "id bigint, v string, `my col` string"
+    base = base.unionByName(spark.createDataFrame([(None, "n", "x"), (None, None, "x")], kinds))
+    copy = base.filter("id IS NULL OR id NOT IN (17, 40017)").withColumn("v", F.when(F.col("id").isin(5, 20_005), "other").otherwise(F.col("v")))
+    copy = copy.unionByName(spark.createDataFrame([(99_999, "new", "x"), (None, "n", "x")], kinds))
+    full = Q.diff_rows(base, copy, ["id"]).filter("state <> 'matched'")
+    for bits, leaf in ((10, 64), (4, 8), (3, 1), (10, 10**6)):
+        found = Q.diff_tree(base, copy, ["id"], bits=bits, leaf_rows=leaf)
+        assert rows(found.rows) == rows(full) and (found.source_rows, found.target_rows) == (base.count(), copy.count())
+    # five ranges of hundreds of rows at most are looked at row by row
+    assert base.count() - Q.diff_tree(base, copy, ["id"]).agreeing_rows < 1000
+    same = Q.diff_tree(base, base, ["id"])
+    assert same.rows.count() == 0 and same.agreeing_rows == base.count()
+    none = Q.diff_tree(base.limit(0), base.limit(0), ["id"])
+    assert none.rows.count() == 0 and Q.tree_summary(none, "e", ["id"]).first().passed
+    single = base.filter("id IS NOT NULL AND id >= 10000"), copy.filter("id IS NOT NULL AND id >= 10000")
+    assert rows(Q.tree_summary(Q.diff_tree(*single, ["id"]), "e", ["id"])) == rows(Q.diff_summary(Q.diff_rows(*single, ["id"]), "e", ["id"]))
