@@ -259,7 +259,14 @@ def identify(text: Column, spark, model: Model | None, spans: bool = True, switc
     return F.arrow_udf(run, RESULT)(text)
 
 
-def keep_identified(docs: DataFrame, training: DataFrame, text: str = "text", lang: str = "lang", min_score: float = 0.5) -> DataFrame:
-    """Documents with one prevailing language; the others go. Columns and values stay as they are."""
-    found = docs.select(packed(docs), identify(F.col(f"`{text}`"), docs.sparkSession, fit(training, text, lang), spans=False).alias("found"))
-    return found.filter((F.col("found.lang") != UNKNOWN) & (F.col("found.score") >= min_score)).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+def keep_identified(docs: DataFrame, training: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """Documents that are written in learned languages, one or several; those without any go.
+
+    What goes are null texts and texts without a letter. Where no row of ``training`` has both a label and
+    a text there is nothing to tell languages by, and every document stays. Columns and values stay as they are.
+    """
+    model = fit(training, text, lang)
+    if model is None:
+        return docs
+    found = docs.select(packed(docs), identify(F.col(f"`{text}`"), docs.sparkSession, model, spans=False).alias("found"))
+    return found.filter(F.col("found.lang") != UNKNOWN).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

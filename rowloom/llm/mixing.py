@@ -57,12 +57,13 @@ def mix(
 
     Sources sort by code point, null last as a source of its own, and weigh ``weights`` in turn. ``copies``
     is how often the mix takes the document: at most ``max_epochs`` times, 0 included. Empty and null texts
-    have size 0 and are taken like the others. Rows that are alike in every way are taken alike.
+    have size 0 and are taken like the others. Rows that are alike in every way are numbered, so that each has
+    a place of its own; which of them has which number does not matter.
     """
     columns = keep if keep is not None else docs.columns
-    place = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns if docs.schema[c].dataType.typeName() != "map"], F.col(f"`{text}`")), F.lit(BUCKETS * BUCKETS))
-    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{source}`").cast("string").alias("source"), n_words(F.col(f"`{text}`")).alias("size"), place.alias("place"))
-    sized = materialize(sized, "mix-sizes")
+    alike = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns if docs.schema[c].dataType.typeName() != "map"], F.col(f"`{text}`"))
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{source}`").cast("string").alias("source"), n_words(F.col(f"`{text}`")).alias("size"), alike.alias("alike"))
+    sized = _apart(materialize(sized, "mix-sizes"))
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
     sources = number_rows(sources, "rank", [F.col("source").asc_nulls_last()], start=0)
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod("rank", F.lit(len(weights))) + 1).cast("int"))
@@ -77,6 +78,21 @@ def mix(
     return sized.join(plan, sized["source"].eqNullSafe(plan["s"])).select("row", "source", "size", "source_size", "target", copies.cast("bigint").alias("copies"))
 
 
+def _apart(sized: DataFrame) -> DataFrame:
+    """Rows with their place in the order; rows that are alike, if there are any, get places apart."""
+    places = F.lit(BUCKETS * BUCKETS)
+    again = sized.groupBy("alike").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("alike").alias("a"))
+    again = materialize(again, "mix-alike")
+    single = sized.withColumn("place", F.pmod("alike", places)).drop("alike")
+    if again.isEmpty():
+        return single
+    same = sized["alike"] == again["a"]
+    single = sized.join(again, same, "left_anti").withColumn("place", F.pmod("alike", places)).drop("alike")
+    numbered = number_rows(sized.join(again, same, "left_semi"), "copy", ["alike"], ["alike"])
+    numbered = numbered.withColumn("place", F.pmod(F.xxhash64("alike", "copy"), places)).drop("alike", "copy")
+    return materialize(single.unionByName(numbered), "mix-places")
+
+
 def _size_class() -> Column:
     """Number of the first of ``CLASSES`` times the source's mean size that the size reaches."""
     column = F.lit(len(CLASSES) - 1)

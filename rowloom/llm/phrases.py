@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom.llm.sieve import bit_table, look_up, perhaps
 from rowloom.llm.words import SPACED, Words, joined, slices, small_batches, split_words
@@ -34,7 +35,9 @@ from rowloom.session import materialize
 
 SIZE = 13
 GRAM = 5
-RESULT = "row struct<{row}>, n_words bigint, n_removed bigint, kept binary, kept_sha256 string"
+# words of one slice that can be characters of a text; more become numbers
+CODE_POINTS = 0x110000 - 0x800 - 2
+RESULT = "n_words bigint, n_removed bigint, kept binary, kept_sha256 string"
 
 
 def sliding_least(x: np.ndarray, n: int) -> np.ndarray:
@@ -101,17 +104,6 @@ class Shard:
     """
 
     def __init__(self, words: Words, size: int, phrase: np.ndarray, least: np.ndarray, ids: np.ndarray) -> None:
-        _, number = np.unique(words.hash, return_inverse=True)
-        number = number.astype(np.uint32) + 1
-        number[number >= 0xD800] += 0x800  # code points that are no characters
-        # texts are parted by a symbol that is no word
-        self.place = np.arange(len(number)) + words.text
-        symbols = np.zeros(len(number) + len(words.bounds) - 1, "<u4")
-        symbols[self.place] = number
-        self.symbols = symbols.tobytes().decode("utf-32-le")
-        self.owner = np.zeros(len(symbols), np.int64)
-        self.owner[self.place] = ids[words.text]
-        self.automaton = ahocorasick.Automaton()
         at = _starts(words, size)
         hashes = joined(words.hash, size)[at].view(np.int64) if len(at) else np.zeros(0, np.int64)
         order = np.argsort(phrase, kind="stable")
@@ -120,14 +112,33 @@ class Shard:
         found[found == len(phrase)] = 0
         repeated = (phrase[found] == hashes) & (least[found] < ids[words.text[at]]) if len(phrase) else np.zeros(len(at), bool)
         at, least = at[repeated], least[found[repeated]] if len(phrase) else least
+        # only words of repeated phrases are told apart; texts are parted by a symbol that is no word
+        inside = np.zeros(len(words.hash) + 1, np.int64)
+        np.add.at(inside, at, 1)
+        np.add.at(inside, at + size, -1)
+        inside = np.cumsum(inside[:-1]) > 0
+        known, number = np.unique(words.hash[inside], return_inverse=True)
+        self.place = np.arange(len(words.hash)) + words.text
+        symbols = np.zeros(len(words.hash) + len(words.bounds) - 1, "<u4")
+        symbols[self.place] = 1
+        symbols[self.place[inside]] = number.astype(np.uint32) + 2
+        if len(known) < CODE_POINTS:
+            symbols[symbols >= 0xD800] += 0x800  # code points that are no characters
+            self.symbols = symbols.tobytes().decode("utf-32-le")
+            self.automaton = ahocorasick.Automaton()
+        else:
+            self.symbols = tuple(symbols.tolist())
+            self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        self.owner = np.zeros(len(symbols), np.int64)
+        self.owner[self.place] = ids[words.text]
         if len(at):
             begins = np.flatnonzero(np.concatenate([[True], (np.diff(at) > 1) | (np.diff(words.text[at]) > 0)]))
             tops = np.maximum.reduceat(least, begins)
             ends = at[np.concatenate([begins[1:], [len(at)]]) - 1] + size
             for a, b, top in zip(self.place[at[begins]].tolist(), (self.place[ends - 1] + 1).tolist(), tops.tolist(), strict=True):
                 passage = self.symbols[a:b]
-                known = self.automaton.get(passage, None)
-                if known is None or top < known[1]:
+                seen = self.automaton.get(passage, None)
+                if seen is None or top < seen[1]:
                     self.automaton.add_word(passage, (b - a, top))
             self.automaton.make_automaton()
 
@@ -182,7 +193,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """``row`` with ``n_words``, ``n_removed``, ``kept`` (remaining words joined by a space) and ``kept_sha256``.
 
     A null text has no words. A null id is neither smaller nor larger than another: such rows lose nothing
-    and take nothing. Rows with equal ids take nothing from each other; repeated rows get equal results.
+    and take nothing. Rows with equal ids take nothing from each other; repeated rows get equal results. A text
+    is one piece of work whatever its length and number of distinct words.
     """
     small_batches(docs.sparkSession)
     named = docs.select(
@@ -216,5 +228,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     columns = ["row", "id", "text", "whole"]
     with_phrases = every.filter("listed").join(lists.select(apart("k").alias("q"), "phrases"), F.col("k") == F.col("q"), "left").select(*columns, "phrases")
     without = every.filter(~F.col("listed")).select(*columns, F.lit(None).cast("array<struct<h:bigint,m:bigint>>").alias("phrases"))
-    fields = named.schema["row"].dataType.simpleString()[len("struct<") : -1]
-    return without.union(with_phrases).mapInArrow(_remove(size, with_text), RESULT.format(row=fields))
+    result = T.StructType([named.schema["row"], *T.StructType.fromDDL(RESULT).fields])
+    return without.union(with_phrases).mapInArrow(_remove(size, with_text), result)

@@ -8,11 +8,12 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rowloom.llm import decontaminate, hmm, langid, licenses, minhash, mixing, phrases, pii, search, warc
 from rowloom.llm.queries import QUERIES, SQL
-from rowloom.llm.words import ALNUM_LOWER, SPACED_LOWER, split_words
+from rowloom.llm.words import ALNUM_LOWER, SPACED, SPACED_LOWER, joined, split_words
 
 LONG = "the quick brown fox jumps over the lazy dog and runs far away from the old grey wolf near a cold river " * 3
 ODD = [
@@ -73,6 +74,17 @@ def test_mixing_meets_targets_and_repeats(spark, odd, none):
     assert mixing.mixed(odd).columns == ["repetition", *odd.columns]
 
 
+def test_rows_that_are_alike_have_places_apart(spark):
+    """A thousand equal rows at twice their size: each twice; at one and a half times: half of them once more."""
+    docs = spark.createDataFrame([(1, "one two", "a", None, 0)] * 1000 + [(i, "w " * 2000, "b", None, 0) for i in range(2, 4)], "doc_id bigint, text string, source string, lang string, size int")
+    for weights, wanted in (((1.0, 1.0), 3000), ((2.0, 1.0), 4000)):
+        got = mixing.mix(docs, weights=weights).filter("source = 'a'").collect()
+        target = got[0].target
+        assert target == pytest.approx(wanted, rel=0.34) and abs(sum(r.copies * r.size for r in got) - target) <= 0.02 * target
+        again = mixing.mix(docs.repartition(5), weights=weights).filter("source = 'a'").collect()
+        assert sorted(r.copies for r in got) == sorted(r.copies for r in again)
+
+
 def test_water_filling_caps_and_shares(spark):
     sources = spark.createDataFrame([("a", 10, 1.0), ("b", 1000, 2.0), ("c", 40, 3.0)], "source string, source_size bigint, weight double")
     got = {r.source: r.target for r in mixing.fill_targets(sources, 3.0).collect()}
@@ -128,6 +140,17 @@ def test_language_is_learned_and_mixed_text_is_split(spark, sf_dir, odd, none):
     assert langid.keep_identified(odd, odd).columns == odd.columns and langid.keep_identified(none, none).count() == 0
 
 
+def test_language_stage_keeps_what_it_can_name(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plain = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert langid.keep_identified(plain, plain).count() == docs.count()  # nothing is known: nothing goes
+    parts = [r.text for r in docs.filter("length(text) > 400").dropDuplicates(["lang"]).orderBy("lang").limit(3).collect()]
+    rows = [(-1, " ".join(p[:300] for p in parts)), (-2, None), (-3, "12 34 !"), (-4, "")]
+    more = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id for r in langid.keep_identified(docs.select("doc_id", "text").union(more), docs).collect()}
+    assert -1 in kept and not kept & {-2, -3, -4}
+
+
 def test_viterbi_finds_the_best_path():
     rng = np.random.default_rng(1)
     model = langid.Model(["a", "b", "c"], np.zeros((3, langid.BUCKETS), np.float32), np.ones((3, len(langid.SCRIPTS)), bool), np.zeros(3))
@@ -203,8 +226,7 @@ def test_hidden_markov_scores(spark, sf_dir, odd, none):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens[r.doc_id]), sum(count[w] > 0 for w in tokens[r.doc_id]), n)
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
-    from pyspark.sql import functions as F
-
+    assert hmm.score_texts(odd.withColumn("my col", F.lit(1)), F.lit(True)).filter("row.`my col` = 1").count() == len(ODD)
     assert hmm.score_texts(odd, F.col("doc_id") != 1).count() == len(ODD) and hmm.score_texts(none, F.lit(True)).count() == 0
 
 
@@ -225,9 +247,24 @@ def test_repeats_handle_odd_rows(odd, none):
     got = phrases.remove_repeats(odd).collect()
     assert len(got) == len(ODD)
     assert [r.n_removed for r in got if r.row.doc_id in (1, 2)] == [0, 66, 66]
+    assert phrases.remove_repeats(odd.withColumn("my col", F.lit(1))).filter("row.`my col` = 1").count() == len(ODD)
     assert all(r.n_removed == 0 for r in got if r.row.doc_id is None) and phrases.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("most", [3, phrases.CODE_POINTS])
+def test_automata_take_any_number_of_words(monkeypatch, most):
+    """With few code points words become numbers; a text of more distinct words than there are code points ends."""
+    monkeypatch.setattr(phrases, "CODE_POINTS", most)
+    shared = " ".join(f"s{i}" for i in range(40))
+    long = " ".join(f"w{i}" for i in range(1_200_000)) if most > 3 else "x y z"
+    texts = pa.array([f"a {shared} b", f"{long} {shared} {long}"])
+    words = split_words(texts, SPACED)
+    phrase = np.unique(joined(words.hash[1:41], phrases.SIZE).view(np.int64))
+    cover = phrases.Shard(words, phrases.SIZE, phrase, np.ones(len(phrase), np.int64), np.array([1, 2])).covered()
+    n = len(long.split())
+    assert np.flatnonzero(cover).tolist() == list(range(42 + n, 82 + n))
+
+
 @pytest.mark.parametrize("full", [("th",), ("th", "a", "h", "k")])
 def test_repeats_do_not_depend_on_bit_tables(spark, sf_dir, monkeypatch, full):
     """A table full of ones lets all rows pass; no row may be lost by it."""
