@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rowloom.constants import clock
+from rowloom.functions.dateformat import format_date, parse_date, parse_timestamp, spark_pattern  # noqa: F401
 from rowloom.functions.nulls import as_col
 
 # Unit names and abbreviations.
@@ -25,76 +25,6 @@ _UNITS = {
 }
 _UNIT_OF = {alias: unit for unit, aliases in _UNITS.items() for alias in aliases}
 
-# Format elements and their Spark pattern letters.
-_ELEMENTS = {
-    "YYYY": "yyyy",
-    "YY": "yy",
-    "MONTH": "MMMM",
-    "MON": "MMM",
-    "MM": "MM",
-    "DD": "dd",
-    "DAY": "EEEE",
-    "DY": "EEE",
-    "DDD": "DDD",
-    "HH24": "HH",
-    "HH12": "hh",
-    "HH": "hh",
-    "MI": "mm",
-    "SS": "ss",
-    "FF": "SSSSSS",
-    "FF3": "SSS",
-    "FF6": "SSSSSS",
-    "AM": "a",
-    "PM": "a",
-    "Q": "Q",
-}
-_PERCENT_ELEMENTS = {
-    "%Y": "yyyy",
-    "%y": "yy",
-    "%m": "MM",
-    "%c": "M",
-    "%d": "dd",
-    "%e": "d",
-    "%H": "HH",
-    "%k": "H",
-    "%h": "hh",
-    "%I": "hh",
-    "%i": "mm",
-    "%s": "ss",
-    "%S": "ss",
-    "%f": "SSSSSS",
-    "%p": "a",
-    "%M": "MMMM",
-    "%b": "MMM",
-    "%W": "EEEE",
-    "%a": "EEE",
-    "%j": "DDD",
-    "%T": "HH:mm:ss",
-    "%%": "%",
-}
-
-
-def spark_pattern(fmt: str, dialect: str) -> str:
-    """Date format of a dialect as a Spark pattern. Formats of T-SQL and Java style are
-    the same as Spark's. Other letters are kept as quoted text."""
-    if dialect in ("sqlserver", "sybase", "java"):
-        return fmt
-    percent = dialect == "mysql"
-    elements = _PERCENT_ELEMENTS if percent else _ELEMENTS
-    names = "|".join(map(re.escape, sorted(elements, key=len, reverse=True)))
-    pattern, quoted = "", ""
-    for found in re.finditer(names + r'|"([^"]*)"|.', fmt, 0 if percent else re.I):
-        text = found.group(0)
-        known = elements.get(text if percent else text.upper())
-        text = found.group(1) if found.group(1) is not None else text
-        if known is None and re.search(r"[A-Za-z']", text):
-            quoted += text.replace("'", "''")
-            continue
-        pattern += f"'{quoted}'" if quoted else ""
-        pattern, quoted = pattern + (known or text), ""
-    return pattern + (f"'{quoted}'" if quoted else "")
-
-
 def unit_of(unit: str) -> str:
     """Full name of a date unit; abbreviations in any case."""
     name = _UNIT_OF.get(unit.lower())
@@ -198,24 +128,6 @@ def part_name(unit: str, value: Column | str) -> Column:
     return part(unit, value).cast("string")
 
 
-def format_date(value: Column | str, fmt: str, dialect: str = "oracle") -> Column:
-    """TO_CHAR, DATE_FORMAT, TO_VARCHAR, FORMAT."""
-    return F.date_format(as_col(value), spark_pattern(fmt, dialect))
-
-
-def parse_date(value: Column | str, fmt: str, dialect: str = "oracle", strict: bool = True) -> Column:
-    """TO_DATE, STR_TO_DATE for dates; bad text raises when strict, else gives null."""
-    pattern = spark_pattern(fmt, dialect)
-    return F.to_date(as_col(value), pattern) if strict else F.try_to_date(as_col(value), pattern)
-
-
-def parse_timestamp(value: Column | str, fmt: str, dialect: str = "oracle", strict: bool = True) -> Column:
-    pattern = F.lit(spark_pattern(fmt, dialect))
-    if strict:
-        return F.to_timestamp_ntz(as_col(value), pattern)
-    return F.try_to_timestamp(as_col(value), pattern).cast("timestamp_ntz")
-
-
 def epoch_seconds(value: Column | str) -> Column:
     """Seconds since 1970 of a time on the UTC clock."""
     return _clock(as_col(value), "second")

@@ -289,3 +289,34 @@ def replicate(df: DataFrame, branches: Mapping[str, Callable[[DataFrame], DataFr
     input when the outputs are written."""
     base = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     return {name: branch(base) for name, branch in branches.items()}
+
+
+FLOW = "_flow"
+
+
+class FanOut:
+    """Several flows of one input, tagged in a single pass.
+
+    ``flows`` gives for each name which rows belong to it (None: all) and what its columns are (None: all
+    of the input). A row is read once and exploded into the flows it belongs to; nothing is kept in memory.
+    """
+
+    def __init__(self, df: DataFrame, flows: Mapping[str, tuple[Column | str | None, Mapping[str, Column] | None]]) -> None:
+        self.columns = {name: dict(columns) if columns is not None else {c: F.col(f"`{c}`") for c in df.columns} for name, (_, columns) in flows.items()}
+        kinds = {}
+        for columns in self.columns.values():
+            for field in df.select(*[c.alias(n) for n, c in columns.items()]).schema:
+                if kinds.setdefault(field.name, field.dataType) != field.dataType:
+                    raise ValueError(f"column {field.name} has several types")
+        tagged = []
+        for name, (where, _) in flows.items():
+            own = self.columns[name]
+            row = F.struct(F.lit(name).alias(FLOW), *[(own[c] if c in own else F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()])
+            tagged.append(row if where is None else F.when(holds(where), row))  # a missing else is null
+        self.rows = df.select(F.explode(F.array_compact(F.array(*tagged))).alias("r")).select("r.*")
+
+    def write(self, path: str, mode: str = "errorifexists", format: str = "parquet") -> dict[str, DataFrame]:
+        """Write all flows in one job, each to a folder of its own, and give them as they are read from there."""
+        self.rows.write.format(format).mode(mode).partitionBy(FLOW).save(path)
+        written = self.rows.sparkSession.read.format(format).schema(self.rows.schema).load(path)
+        return {name: written.filter(F.col(FLOW) == name).select(*[F.col(f"`{c}`") for c in columns]) for name, columns in self.columns.items()}

@@ -199,6 +199,35 @@ def fn_format(t: Tables) -> DataFrame:
     )
 
 
+@query("fn_format_elements", """
+SELECT event_id, strftime(ts, '%y') AS rr, strftime(ts, '%G-W%V') AS iso_week, CAST(CAST(julian(CAST(ts AS DATE)) AS BIGINT) AS VARCHAR) AS julian_day,
+  lpad(CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS VARCHAR), 5, '0') AS day_seconds, strftime(ts, '%Y') || ' Q' || quarter(ts) AS quarter,
+  CAST(dayofweek(ts) + 1 AS VARCHAR) || lpad(CAST((dayofyear(ts) - 1) // 7 + 1 AS VARCHAR), 2, '0') AS day_and_week,
+  CAST(day(ts) AS VARCHAR) || CASE WHEN day(ts) IN (11, 12, 13) THEN 'th' WHEN day(ts) % 10 = 1 THEN 'st' WHEN day(ts) % 10 = 2 THEN 'nd'
+    WHEN day(ts) % 10 = 3 THEN 'rd' ELSE 'th' END || strftime(ts, ' %b') AS ordinal,
+  strftime(ts, '%U') AS sunday_week, strftime(ts, '%w') AS weekday, strftime(ts, '%d/%m/%Y %I:%M %p') AS net_form FROM events
+""")
+def fn_format_elements(t: Tables) -> DataFrame:
+    return t.events.select(
+        "event_id", D.format_date("ts", "RR").alias("rr"), D.format_date("ts", 'IYYY-"W"IW').alias("iso_week"), D.format_date("ts", "J").alias("julian_day"),
+        D.format_date("ts", "SSSSS").alias("day_seconds"), D.format_date("ts", 'RRRR "Q"Q').alias("quarter"), D.format_date("ts", "DWW").alias("day_and_week"),
+        D.format_date("ts", "%D %b", "mysql").alias("ordinal"), D.format_date("ts", "%U", "mysql").alias("sunday_week"),
+        D.format_date("ts", "%w", "mysql").alias("weekday"), D.format_date("ts", "dd/MM/yyyy hh:mm tt", "sqlserver").alias("net_form"),
+    )
+
+
+@query("fn_parse_elements", """
+SELECT event_id, CAST(ts AS DATE) AS by_julian, CAST(ts AS DATE) AS by_window, CAST(ts AS DATE) AS by_ordinal, date_trunc('second', ts) AS by_seconds FROM events
+""")
+def fn_parse_elements(t: Tables) -> DataFrame:
+    """What was written is read again."""
+    return t.events.select(
+        "event_id", D.parse_date(D.format_date("ts", "J"), "J").alias("by_julian"), D.parse_date(D.format_date("ts", "DD-MON-RR"), "DD-MON-RR").alias("by_window"),
+        D.parse_date(D.format_date("ts", "%M %D, %Y", "mysql"), "%M %D, %Y", "mysql").alias("by_ordinal"),
+        D.parse_timestamp(D.format_date("ts", "RRRR/MM/DD SSSSS"), "RRRR/MM/DD SSSSS").alias("by_seconds"),
+    )
+
+
 @query("fn_parse", """
 SELECT event_id, CAST(ts AS DATE) AS day, date_trunc('second', ts) AS second, CAST(NULL AS DATE) AS bad,
        CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch FROM events

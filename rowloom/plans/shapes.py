@@ -12,6 +12,7 @@ from rowloom.operators import shape as S
 from rowloom.operators.keys import surrogate_key
 from rowloom.plans.registry import Tables, query
 from rowloom.schema import conform
+from rowloom.session import scratch_path
 
 RUN_AT = dt.datetime(2026, 1, 1, 6, 30)
 
@@ -325,11 +326,23 @@ SELECT c_mktsegment AS grp, count(*) AS n FROM customer GROUP BY 1
 UNION ALL SELECT CAST(c_nationkey AS VARCHAR), count(*) FROM customer GROUP BY 1
 """)
 def replicated_flow(t: Tables) -> DataFrame:
-    def counted(column: str):
-        return lambda df: df.groupBy(F.col(column).cast("string").alias("grp")).agg(F.count(F.lit(1)).alias("n"))
+    flows = S.FanOut(t.customer, {"a": (None, {"grp": F.col("c_mktsegment")}), "b": (None, {"grp": F.col("c_nationkey").cast("string")})})
+    return flows.rows.groupBy(S.FLOW, "grp").agg(F.count(F.lit(1)).alias("n")).drop(S.FLOW)
 
-    flows = S.replicate(t.customer, {"a": counted("c_mktsegment"), "b": counted("c_nationkey")}, persist=False)
-    return flows["a"].unionAll(flows["b"])
+
+@query("fan_out_files", """
+SELECT 'rich' AS flow, c_custkey AS k, c_name AS name, NULL AS bal FROM customer WHERE c_acctbal > 5000
+UNION ALL SELECT 'negative', c_custkey, NULL, c_acctbal FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT 'all', c_custkey, NULL, NULL FROM customer
+""")
+def fan_out_files(t: Tables) -> DataFrame:
+    """Three outputs with columns of their own, written in one job that reads the customers once."""
+    key = {"k": F.col("c_custkey")}
+    flows = S.FanOut(t.customer, {
+        "rich": ("c_acctbal > 5000", {**key, "name": F.col("c_name")}), "negative": (F.col("c_acctbal") < 0, {**key, "bal": F.col("c_acctbal")}), "all": (None, key),
+    }).write(scratch_path(t.spark, "flows"))
+    parts = [df.withColumn("flow", F.lit(name)) for name, df in flows.items()]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
 
 
 @query("select_expressions", """

@@ -31,10 +31,24 @@ SELECT s_suppkey, s_name, CAST(NULL AS DOUBLE) AS s_acctbal FROM supplier UNION
 """)
 def schema_evolution(t: Tables) -> DataFrame:
     """A later load brings a column the first one lacked."""
-    path = scratch_path(t.spark, "evolving")
-    t.supplier.select("s_suppkey", "s_name").write.parquet(f"{path}/load=1")
-    t.supplier.select("s_suppkey", "s_name", "s_acctbal").write.parquet(f"{path}/load=2")
-    return t.spark.read.option("mergeSchema", "true").parquet(path).drop("load")
+    table = _new_table(t, "evolving")
+    TB.save_table(t.supplier.select("s_suppkey", "s_name"), table["name"], "overwrite", path=table["path"])
+    TB.save_table(t.supplier.select("s_acctbal", "s_suppkey", "s_name"), table["name"], path=table["path"])
+    return TB.read_table(t.spark, table["name"])
+
+
+@query("schema_evolution_parts", """
+SELECT o_orderkey, CAST(NULL AS DOUBLE) AS o_totalprice, o_orderpriority, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT o_orderkey, o_totalprice, NULL, o_orderstatus FROM orders WHERE o_orderkey % 2 = 1
+""")
+def schema_evolution_parts(t: Tables) -> DataFrame:
+    """A partitioned table; the second load has a new column and lacks an old one, its keys are narrower."""
+    table = _new_table(t, "evolving")
+    first = t.orders.filter("o_orderkey % 2 = 0").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    second = t.orders.filter("o_orderkey % 2 = 1").select("o_orderstatus", "o_totalprice", F.col("o_orderkey").cast("int").alias("O_ORDERKEY"))
+    TB.save_table(first, table["name"], "overwrite", ["o_orderstatus"], path=table["path"])
+    TB.save_table(second, table["name"], "append", ["o_orderstatus"])
+    return TB.read_table(t.spark, table["name"])
 
 
 @query("append_by_load_type", """

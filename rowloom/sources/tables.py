@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowloom.operators.change import action_name, apply_action, one_row_per_key, without_key
 from rowloom.session import materialize
@@ -67,7 +68,16 @@ def save_table(
     path: str | None = None,
 ) -> None:
     """Write a table, managed or at a path. Buckets on the join key spare later joins their
-    exchange."""
+    exchange.
+
+    An append goes by column name. With ``merge_schema`` columns that the table lacks are added to the
+    catalog first, and columns that the rows lack are null; without it both are errors. Values widen to the
+    table's type, they never narrow.
+    """
+    spark = df.sparkSession
+    if mode == "append" and spark.catalog.tableExists(name) and _provider(spark, name) not in ROW_LEVEL_FORMATS:
+        _append_by_name(df, name, partition_by, merge_schema)
+        return
     writer = df.write.format(format).mode(mode)
     if path:
         writer = writer.option("path", path)
@@ -80,6 +90,42 @@ def save_table(
     writer.saveAsTable(name)
 
 
+# Types in the order in which they widen without loss.
+_WIDER = ({"tinyint": 0, "smallint": 1, "int": 2, "bigint": 3}, {"tinyint": 0, "smallint": 1, "int": 2, "double": 3}, {"float": 0, "double": 1}, {"date": 0, "timestamp_ntz": 1})
+
+
+def _widens(given: T.DataType, wanted: T.DataType) -> bool:
+    if given == wanted or isinstance(given, T.NullType):
+        return True
+    if isinstance(given, T.DecimalType) and isinstance(wanted, T.DecimalType):
+        return given.scale <= wanted.scale and given.precision - given.scale <= wanted.precision - wanted.scale
+    a, b = given.simpleString(), wanted.simpleString()
+    return any(a in order and b in order and order[a] <= order[b] for order in _WIDER)
+
+
+def _append_by_name(df: DataFrame, name: str, partition_by: Sequence[str], merge_schema: bool) -> None:
+    spark = df.sparkSession
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if partition_by and [c.lower() for c in partition_by] != [c.lower() for c in parts]:
+        raise ValueError(f"{name} is partitioned by {parts}, not by {list(partition_by)}")
+    table = spark.read.table(name).schema
+    given = {f.name.lower(): f for f in df.schema}
+    known = {f.name.lower() for f in table}
+    added = [f for f in df.schema if f.name.lower() not in known]
+    lacking = [f.name for f in table if f.name.lower() not in given]
+    if not merge_schema and (added or lacking):
+        raise ValueError(f"{name} differs in columns {sorted([f.name for f in added] + lacking)}")
+    for field in table:
+        mine = given.get(field.name.lower())
+        if mine is not None and not _widens(mine.dataType, field.dataType):
+            raise ValueError(f"column {field.name} of {name}: {mine.dataType.simpleString()} does not fit {field.dataType.simpleString()}")
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
+        table = spark.read.table(name).schema
+    columns = [(F.col(f"`{given[f.name.lower()].name}`") if f.name.lower() in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in table]
+    df.select(*columns).write.insertInto(name)
+
+
 def save_by_load_type(df: DataFrame, name: str, full: bool, **options) -> None:
     """A full load replaces the table, others append."""
     save_table(df, name, "overwrite" if full else "append", **options)

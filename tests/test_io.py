@@ -176,3 +176,21 @@ def test_insert_refuses_unknown_columns(spark):
     with pytest.raises(ValueError, match="no columns"):
         TB.insert_into(spark.createDataFrame([(1, "a", 2)], "k int, v string, extra int"), "narrow_target")
     spark.sql("DROP TABLE narrow_target")
+
+
+def test_append_adds_columns_and_widens(spark, rows, tmp_path):
+    name = "evolving_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    TB.save_table(spark.createDataFrame([(1, "a", "x")], "id bigint, v string, p string"), name, "overwrite", ["p"], path=str(tmp_path / "t"))
+    TB.save_table(spark.createDataFrame([("y", 2, 0.5)], "p string, ID int, `new col` double"), name)
+    assert rows(spark.read.table(name), "id", "v", "new col", "p") == [(1, "a", None, "x"), (2, None, 0.5, "y")]
+    TB.save_table(spark.createDataFrame([(3, "c", "x", 1.5)], "id bigint, v string, p string, `new col` double"), name, merge_schema=False)
+    assert spark.read.table(name).count() == 3
+    with pytest.raises(ValueError, match="does not fit"):
+        TB.save_table(spark.createDataFrame([("z", "x")], "id string, p string"), name)
+    with pytest.raises(ValueError, match="differs in columns"):
+        TB.save_table(spark.createDataFrame([(4, "x")], "id bigint, p string"), name, merge_schema=False)
+    with pytest.raises(ValueError, match="is partitioned by"):
+        TB.save_table(spark.createDataFrame([(4, "x")], "id bigint, p string"), name, partition_by=["v"])
+    assert spark.read.table(name).count() == 3
+    spark.sql(f"DROP TABLE {name}")

@@ -1,4 +1,6 @@
+import contextlib
 import datetime as dt
+import io
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,3 +167,22 @@ def test_types_beyond_spark_decimals_lose_no_digits():
 
     assert spark_type("DECIMAL(65,30)", "mysql") == "string"
     assert spark_type("NUMBER(10,-2)", "oracle") == "decimal(12,0)"
+
+
+def test_fan_out_reads_its_input_once(spark, rows, tmp_path):
+    source = spark.range(100).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("m"))
+    path = str(tmp_path / "in")
+    source.write.parquet(path)
+    flows = S.FanOut(spark.read.parquet(path), {
+        "one": ("m = 1", {"id": F.col("id")}), "unset": (F.col("m").isNull(), {"id": F.col("id"), "why": F.lit("none")}), "never": ("m > 5", None), "all": (None, None),
+    })
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        flows.rows.explain("formatted")
+    assert text.getvalue().count("Scan parquet") == 2  # once in the tree, once in the details
+    assert "InMemoryRelation" not in text.getvalue()
+    out = flows.write(str(tmp_path / "out"))
+    assert rows(out["one"]) == [(i,) for i in range(1, 100, 3)] and out["never"].count() == 0
+    assert rows(out["unset"]) == [(i, "none") for i in range(0, 100, 3)] and out["all"].columns == ["id", "m"] and out["all"].count() == 100
+    with pytest.raises(ValueError, match="several types"):
+        S.FanOut(source, {"a": (None, {"x": F.lit(1)}), "b": (None, {"x": F.lit("s")})})
