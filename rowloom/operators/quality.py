@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import warnings
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,6 +78,22 @@ def assert_rows(df: DataFrame, condition: Column | str, message: str) -> DataFra
     return df.filter(checked)
 
 
+def warn_rows(df: DataFrame, condition: Column | str, message: str) -> tuple[DataFrame, Callable[[], int]]:
+    """Let rows that break the condition pass, and count them while an action runs.
+
+    Afterwards the second item gives the number, with a warning where it is not 0.
+    """
+    seen = Observation()
+    watched = df.observe(seen, F.count_if(~holds(condition)).alias("broken"))
+
+    def broken() -> int:
+        if seen.get["broken"]:
+            warnings.warn(f"{message}: {seen.get['broken']} rows", stacklevel=2)
+        return seen.get["broken"]
+
+    return watched, broken
+
+
 def assert_aggregate(df: DataFrame, condition: Column, message: str) -> None:
     """Fail now when a condition over aggregates of the input does not hold."""
     if not df.agg(holds(condition).alias("ok")).first()["ok"]:

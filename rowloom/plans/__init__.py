@@ -8,6 +8,7 @@ from rowloom.plans import (  # noqa: F401
     functions,
     lookups,
     matches,
+    outcomes,
     rowcodes,
     shapes,
     streams,
