@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +18,7 @@ from rowloom.session import materialize
 
 # Table formats that support MERGE.
 ROW_LEVEL_FORMATS = ("delta", "iceberg", "hudi")
+VERSION = "-v"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -162,6 +166,51 @@ def _provider(spark: SparkSession, name: str) -> str:
     return row["data_type"].lower() if row else ""
 
 
+def _described(spark: SparkSession, name: str, what: str) -> str:
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == what).first()
+    return row["data_type"] if row else ""
+
+
+def _replace(name: str, state: DataFrame) -> None:
+    """Write ``state`` beside the table's files and let the table have them in one catalog step."""
+    spark = state.sparkSession
+    wanted = spark.read.table(name).schema
+    # bucketed tables keep their layout only in Spark's own writer
+    if _provider(spark, name) not in ("parquet", "orc") or _described(spark, name, "Num Buckets"):
+        materialize(state, "merged").write.insertInto(name, overwrite=True)
+        return
+    folder = f"{_base(_described(spark, name, 'Location'))}{VERSION}{uuid.uuid4().hex}"
+    typed = state.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
+    typed.write.format(_provider(spark, name)).save(folder)
+    quoted = folder.replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted}'")
+    spark.catalog.refreshTable(name)
+
+
+def _base(location: str) -> str:
+    return re.sub(f"{VERSION}[0-9a-f]{{32}}$", "", location.rstrip("/"))
+
+
+def old_versions(spark: SparkSession, name: str) -> list[str]:
+    """Folders of a table's replaced states that are still there, for a clean-up after their last reader."""
+    location = _described(spark, name, "Location").rstrip("/")
+    base = _base(location)
+    pattern = re.sub(r"([\[\]{}*?,\\])", r"\\\1", base)
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true")
+    try:
+        files = found.load([f"{pattern}{VERSION}*", *([base] if location != base else [])]).select("path")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    folders = files.select(F.regexp_extract("path", f"^(.*?({VERSION}[0-9a-f]{{32}})?)/part-", 1).alias("folder")).distinct()
+    return sorted(r["folder"] for r in folders.collect() if _plain(r["folder"]) != _plain(location))
+
+
+def _plain(path: str) -> str:
+    return re.sub("^file:/+", "/", path)
+
+
 def _merge_rows(name: str, source: DataFrame, keys: Sequence[str], action: str) -> None:
     """MERGE on a table format that has it: only the files with matches are rewritten."""
     source = source.alias("source")
@@ -190,10 +239,12 @@ def merge_table(
 ) -> None:
     """Apply an action to a table in place; a missing table is created.
 
-    Formats with row-level operations run a MERGE. Plain files have none, so the new state
-    is computed, written to the shared folder and then put in place. For a table partitioned
-    by one column only the partitions that hold matching keys or receive rows are read in
-    full and rewritten.
+    Formats with row-level operations run a MERGE. Plain files have none. The new state of an
+    unpartitioned table is written to a folder of its own, once, and the catalog then takes that
+    folder for the table in a single step: a job that ends before it leaves the old state, and readers
+    see one of the two. The old folder stays; ``old_versions`` names it. For a table partitioned by one
+    column only the partitions that hold matching keys or receive rows are read in full and rewritten,
+    by way of the shared folder.
     """
     if not spark.catalog.tableExists(name):
         parts = [partition_by] if partition_by else ()
@@ -211,8 +262,7 @@ def merge_table(
         _merge_rows(name, single, keys, kind)
         return
     if partition_by is None:
-        state = materialize(apply_action(target, source, keys, action, order_by), "merged")
-        state.select(*target.columns).write.insertInto(name, overwrite=True)
+        _replace(name, apply_action(target, source, keys, action, order_by).select(*target.columns))
         return
     matching = target.select(*keys, partition_by).join(source.select(*keys), list(keys), "left_semi").select(partition_by)
     touching = matching if kind == "delete" else matching.unionByName(source.select(partition_by))

@@ -194,3 +194,32 @@ def test_append_adds_columns_and_widens(spark, rows, tmp_path):
         TB.save_table(spark.createDataFrame([(4, "x")], "id bigint, p string"), name, partition_by=["v"])
     assert spark.read.table(name).count() == 3
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_merge_switches_versions_in_one_step(spark, rows, tmp_path, monkeypatch):
+    name = "switched_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    TB.save_table(spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string"), name, "overwrite", path=str(tmp_path / "t"))
+    assert TB.old_versions(spark, name) == []
+    TB.merge_table(spark, name, spark.createDataFrame([(2, "B"), (3, "C")], "id bigint, v string"), ["id"])
+    second = [(1, "a"), (2, "B"), (3, "C")]
+    assert rows(spark.read.table(name)) == second and len(TB.old_versions(spark, name)) == 1
+    assert rows(spark.read.parquet(str(tmp_path / "t"))) == [(1, "a"), (2, "b")]  # readers of the old state keep its files
+    # killed while the new state is written: after its files, before the catalog knows them
+    real = type(spark).sql
+
+    def killed(self, statement, *args, **more):
+        if statement.startswith("ALTER TABLE"):
+            raise RuntimeError("killed")
+        return real(self, statement, *args, **more)
+
+    monkeypatch.setattr(type(spark), "sql", killed)
+    with pytest.raises(RuntimeError, match="killed"):
+        TB.merge_table(spark, name, spark.createDataFrame([(1, "X")], "id bigint, v string"), ["id"])
+    monkeypatch.setattr(type(spark), "sql", real)
+    assert rows(spark.read.table(name)) == second
+    TB.merge_table(spark, name, spark.createDataFrame([(1, "X")], "id bigint, v string"), ["id"], action="DELETE")
+    assert rows(spark.read.table(name)) == second[1:] and len(TB.old_versions(spark, name)) == 3
+    spark.sql(f"INSERT INTO {name} VALUES (9, 'z')")
+    assert spark.read.table(name).count() == 3
+    spark.sql(f"DROP TABLE {name}")
