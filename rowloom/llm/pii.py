@@ -1,18 +1,21 @@
 """Information-theoretic sanitisation of personal data.
 
 Protected entities are the e-mail, network and card numbers and phone numbers that fixed patterns
-find (the base spans). Words that stand near an entity may give it away as well. How much a term t
+find (the base spans). Words in the same document may give an entity away as well. How much a term t
 tells about an entity e is their pointwise mutual information, estimated over all documents:
 
     PMI(e; t) = log(N * n(e, t) / (n(e) * n(t)))        IC(e) = log(N / n(e))
 
-n(e) and n(t) count documents that hold e or t, n(e, t) those that hold t within ``near`` terms of e.
-PMI / IC is the share of the entity's information that the term discloses, 1 when the term occurs
-with the entity alone. Terms at or above ``remove_at`` are removed, those at or above ``generalise_at``
-are generalised to their shape. A pair needs ``support`` documents: one document is no co-occurrence.
+n(e) and n(t) count documents that hold e or t, n(e, t) those that hold both, the term outside of base
+spans and at any distance. PMI / IC is the share of the entity's information that the term discloses, 1
+when the term occurs with the entity alone. Terms at or above ``remove_at`` are removed, those at or above
+``generalise_at`` are generalised to their shape, at every place where they stand in a document that holds
+the entity. A pair needs ``support`` documents: a count of n has a relative error of about 1 / sqrt(n), and
+in a single document every rare word would stand with the entity alone.
 
-Counts are summed per batch before they are shuffled, keyed by (entity, term), by term or by entity,
-so a frequent entity or term is one row per task. Nothing but the number of documents reaches the driver.
+Counts are summed per slice before they are shuffled, keyed by (entity, term), by term or by entity, so a
+frequent entity or term is one row per task. Only documents with an entity of ``support`` documents are
+searched for terms. Nothing but the number of documents, and a bit table of bounded size, reaches the driver.
 """
 
 from __future__ import annotations
@@ -25,16 +28,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.llm.sieve import bit_table, look_up
 from rowloom.llm.words import ALNUM_LOWER, slices, small_batches, split_words
+from rowloom.operators.keys import apart
 from rowloom.session import materialize
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 TERM = KINDS.index("term")
-NEAR = 6
 SUPPORT = 3
 REMOVE_AT = 0.95
 GENERALISE_AT = 0.8
-TERM_BYTES = 3
+PAIRS = 1 << 20  # pairs of a slice that are held before they are summed
 
 # fixed patterns of the base spans; see base_spans for how they are searched in linear time
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -46,9 +50,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
 SPAN = "struct<kind:int,start:int,end:int>"
-SCAN = f"struct<base:array<{SPAN}>,near:array<struct<e:bigint,t:bigint,start:int,end:int>>>"
+SCAN = f"struct<base:array<{SPAN}>,entities:array<bigint>>"
 _SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
-_SCAN = pa.struct([("base", pa.list_(_SPAN)), ("near", pa.list_(pa.struct([("e", pa.int64()), ("t", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])))])
+_SCAN = pa.struct([("base", pa.list_(_SPAN)), ("entities", pa.list_(pa.int64()))])
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -103,35 +107,66 @@ def _entity(kind: int, value: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _nearby(text: str, spans: list[tuple[int, int, int]], near: int) -> list[dict]:
-    """Terms within ``near`` terms of each span that lie in no span."""
+def _outside(text: str, spans: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Terms that lie in no span: hash, start and end in code points."""
     words = split_words(pa.array([text]), ALNUM_LOWER)
     start, end = words.start, words.end
     if not text.isascii():  # bytes to code points
         points = np.cumsum((words.data & 0xC0) != 0x80)
         start, end = points[start] - 1, points[end - 1]
-    in_span = np.zeros(len(start), bool)
-    for _, a, b in spans:
-        in_span[np.searchsorted(end, a, side="right") : np.searchsorted(start, b)] = True
-    term = np.flatnonzero(~in_span & (words.end - words.start >= TERM_BYTES))
-    hashes = words.hash.view(np.int64)
+    free = np.ones(len(start), bool)
+    for s in spans:
+        free[np.searchsorted(end, s["start"], side="right") : np.searchsorted(start, s["end"])] = False
+    return words.hash.view(np.int64)[free], start[free], end[free]
+
+
+def _scan(texts: pa.Array) -> pa.Array:
     out = []
-    for kind, a, b in spans:
-        e = _entity(kind, text[a:b])
-        left = np.searchsorted(end[term], a, side="right")
-        right = np.searchsorted(start[term], b)
-        for i in [*term[max(0, left - near) : left], *term[right : right + near]]:
-            out.append({"e": e, "t": int(hashes[i]), "start": int(start[i]), "end": int(end[i])})
-    return out
-
-
-def _scan(near: int):
-    def run(texts: pa.Array) -> pa.Array:
-        out = []
-        for text in texts.to_pylist():
-            spans = base_spans(text) if text else []
-            out.append({"base": [dict(zip(("kind", "start", "end"), s, strict=True)) for s in spans], "near": _nearby(text, spans, near) if spans else []})
-        return pa.array(out, type=_SCAN)
+    for text in texts.to_pylist():
+        spans = base_spans(text) if text else []
+        out.append({"base": [dict(zip(("kind", "start", "end"), s, strict=True)) for s in spans], "entities": sorted({_entity(k, text[a:b]) for k, a, b in spans})})
+    return pa.array(out, type=_SCAN)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    e, t = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((t, e))
+    e, t = e[order], t[order]
+    at = np.flatnonzero(np.concatenate([[True], (e[1:] != e[:-1]) | (t[1:] != t[:-1])])) if len(e) else np.zeros(0, np.int64)
+    return pa.record_batch({"e": e[at], "t": t[at], "n": np.diff(np.append(at, len(e)))})
+
+
+def _pairs(batches):
+    """Rows (entity, term, documents with both) of documents given as text, base spans and entities."""
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
+    for batch in batches:
+        for at, to in slices(batch.column(0)):
+            for row in batch.slice(at, to - at).to_pylist():
+                term = np.unique(_outside(row["text"], row["base"])[0])
+                for e in row["entities"]:
+                    parts.append((np.full(len(term), e, np.int64), term))
+                    held += len(term)
+                    if held > PAIRS:
+                        yield _summed(parts)
+                        parts, held = [], 0
+    if parts:
+        yield _summed(parts)
+
+
+def _marks(shared):
+    """Occurrences of terms that, by a bit table of (entity xor term), perhaps disclose an entity of their document."""
+
+    def run(batches):
+        for batch in batches:
+            for at, to in slices(batch.column(0)):
+                for row in batch.slice(at, to - at).to_pylist():
+                    term, start, end = _outside(row["text"], row["base"])
+                    for e in row["entities"]:
+                        hit = look_up(shared.value, term ^ np.int64(e))
+                        if hit.any():
+                            n = int(hit.sum())
+                            yield pa.record_batch({"rid": np.full(n, row["rid"]), "e": np.full(n, e, np.int64), "t": term[hit], "start": start[hit].astype(np.int32), "end": end[hit].astype(np.int32)})
 
     return run
 
@@ -143,10 +178,9 @@ def _terms(batches):
         parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         for at, to in slices(texts):
             words = split_words(texts.slice(at, to - at), ALNUM_LOWER)
-            long = words.end - words.start >= TERM_BYTES
             # one row per document and term: distinct hashes of (term, document)
-            order = np.lexsort((words.text[long], words.hash[long]))
-            term, text = words.hash[long][order], words.text[long][order]
+            order = np.lexsort((words.text, words.hash))
+            term, text = words.hash[order], words.text[order]
             fresh = np.ones(len(term), bool)
             fresh[1:] = (term[1:] != term[:-1]) | (text[1:] != text[:-1])
             parts.append(np.unique(term[fresh], return_counts=True))
@@ -156,7 +190,7 @@ def _terms(batches):
 
 
 def find_private(
-    docs: DataFrame, text: str = "text", keep: list[str] | None = None, near: int = NEAR, support: int = SUPPORT,
+    docs: DataFrame, text: str = "text", keep: list[str] | None = None, support: int = SUPPORT,
     remove_at: float = REMOVE_AT, generalise_at: float = GENERALISE_AT,
 ) -> DataFrame:
     """``row`` (the columns ``keep``, all by default) with ``spans``, sorted by kind and start.
@@ -167,20 +201,26 @@ def find_private(
     """
     small_batches(docs.sparkSession)
     chosen = docs.select(*[F.col(f"`{c}`") for c in keep]) if keep is not None else docs
-    scanned = docs.select(F.struct(*[F.col(f"`{c}`") for c in chosen.columns]).alias("row"), F.arrow_udf(_scan(near), SCAN)(F.col(f"`{text}`")).alias("s"))
-    scanned = materialize(scanned.select(F.monotonically_increasing_id().alias("rid"), "row", "s.base", "s.near"), "pii-scan")
-    occurrences = scanned.filter(F.size("near") > 0).select("rid", F.explode("near").alias("o")).select("rid", "o.*")
+    scanned = docs.select(F.struct(*[F.col(f"`{c}`") for c in chosen.columns]).alias("row"), F.col(f"`{text}`").alias("text"), F.arrow_udf(_scan, SCAN)(F.col(f"`{text}`")).alias("s"))
+    held = F.when(F.size("s.entities") > 0, F.col("text")).alias("text")
+    scanned = materialize(scanned.select(F.monotonically_increasing_id().alias("rid"), "row", held, "s.base", "s.entities"), "pii-scan")
     n_docs = scanned.count()
-    entities = scanned.filter(F.size("near") > 0).select("rid", F.explode(F.array_distinct(F.transform("near", lambda x: x["e"]))).alias("e")).groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
-    pairs = scanned.filter(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["e"].alias("e"), x["t"].alias("t"))))).alias("p"))
-    pairs = pairs.groupBy("p.e", "p.t").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= support)
+    named = scanned.filter(F.size("entities") > 0).select("rid", F.explode("entities").alias("e"))
+    entities = materialize(named.groupBy("e").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= support), "entities")
+    lists = named.join(entities, "e", "left_semi").groupBy("rid").agg(F.collect_list("e").alias("entities"))  # of one text
+    texts = scanned.filter("text IS NOT NULL").select("rid", "text", "base").join(lists.select(apart("rid").alias("r"), "entities"), F.col("rid") == F.col("r"))
+    texts = materialize(texts.select("text", "base", "entities", "rid"), "pii-texts")
+    pairs = texts.mapInArrow(_pairs, "e bigint, t bigint, n bigint").groupBy("e", "t").agg(F.sum("n").alias("n_et")).filter(F.col("n_et") >= support)
+    pairs = materialize(pairs, "pairs")
     terms = docs.select(F.col(f"`{text}`")).mapInArrow(_terms, "t bigint, n bigint")
     terms = terms.join(pairs.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.sum("n").alias("n_t"))
     told = F.log(F.lit(float(n_docs)) * F.col("n_et") / F.col("n_e") / F.col("n_t")) / F.log(F.lit(float(n_docs)) / F.col("n_e"))
     disclosing = pairs.join(entities, "e").join(terms, "t").select("e", "t", told.alias("share")).filter((F.col("share") >= generalise_at) & ~F.isnan("share"))
-    added = occurrences.join(disclosing, ["e", "t"]).groupBy("rid", "start", "end").agg(F.max("share").alias("share"))
+    disclosing = materialize(disclosing.withColumn("both", F.col("e").bitwiseXOR(F.col("t"))), "disclosing")
+    marks = texts.mapInArrow(_marks(bit_table(disclosing, "both")), "rid bigint, e bigint, t bigint, start int, end int")
+    added = marks.join(disclosing, ["e", "t"]).groupBy("rid", "start", "end").agg(F.max("share").alias("share"))
     spans = F.struct(F.lit(TERM).alias("kind"), "start", "end", "share", (F.col("share") >= remove_at).alias("drop"))
-    added = added.groupBy("rid").agg(F.collect_list(spans).alias("added"))  # at most 2 * near terms for each span of one text
+    added = added.groupBy("rid").agg(F.collect_list(spans).alias("added"))  # terms of one text
     base = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(None).cast("double").alias("share"), F.lit(False).alias("drop")))
     with_base = scanned.filter(F.size("base") > 0).join(added, "rid", "left")
     with_base = with_base.select("row", F.array_sort(F.concat(base, F.coalesce("added", F.array().cast("array<struct<kind:int,start:int,end:int,share:double,drop:boolean>>")))).alias("spans"))

@@ -124,6 +124,35 @@ def test_disclosing_terms_go_and_clean_documents_stay(spark, odd, none):
     assert shown == "Mail [EMAIL] or [PHONE] from [IP], card [CARD]"
 
 
+def test_disclosing_terms_go_wherever_they_stand(spark):
+    """Shares counted plainly over whole documents; every occurrence in a document with the entity is a span."""
+    draw = np.random.default_rng(6)
+    fill = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        words = list(draw.choice(fill, 30))
+        if i % 10 == 0:  # an entity of 15 documents, with its term far off and twice
+            words = ["Zanzibar", *words, "x.y@host.example.org", *draw.choice(fill, 20), "zanzibar", "é"]
+        if i in (3, 4):
+            words += ["zanzibar"] if i == 3 else ["solo@host.example.org", "unique"]
+        rows.append((i, " ".join(words)))
+    found = {r.row.doc_id: r for r in pii.find_private(spark.createDataFrame(rows, "doc_id int, text string"), keep=["doc_id"]).collect()}
+    bags = {i: set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub(r"\S+@\S+", " ", t).lower())) for i, t in rows}
+    whole = {i: set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.lower())) for i, t in rows}
+    holders = [i for i in bags if i % 10 == 0]
+    share = {}
+    for t in set().union(*(bags[i] for i in holders)):
+        n_et, n_t = sum(t in bags[i] for i in holders), sum(t in w for w in whole.values())
+        share[t] = np.log(150 * n_et / len(holders) / n_t) / np.log(150 / len(holders)) if n_et >= pii.SUPPORT else -1
+    told = {t for t, v in share.items() if v >= pii.GENERALISE_AT}
+    assert told == {"zanzibar", "é"} and share["zanzibar"] < 1
+    for i, t in rows:
+        spans = [(s.start, s.end) for s in found[i].spans if s.kind == pii.TERM]
+        plain = [m.span() for m in re.finditer(r"\S+", t) if m[0].lower() in told] if i in holders else []
+        assert spans == plain, i
+    assert all(abs(s.share - share[rows[i][1][s.start : s.end].lower()]) < 1e-9 for i in holders for s in found[i].spans if s.kind == pii.TERM)
+
+
 def test_language_is_learned_and_mixed_text_is_split(spark, sf_dir, odd, none):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = {r.doc_id: r for r in QUERIES["op4_language_id"](spark, sf_dir).collect()}
