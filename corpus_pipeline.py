@@ -45,7 +45,7 @@ STAGES = [
     ("personal_data", mask_personal_data),
     ("mix", mix_sources),
 ]
-# trained, hashed and seeded stages have no SQL form; tests/llm checks planted rows of every operator that they call
+# trained, hashed and seeded stages have no SQL form; tests/llm compares the stages with plain Python on planted rows
 ORACLE_SQL = None
 
 
