@@ -175,8 +175,9 @@ def _replace(name: str, state: DataFrame) -> None:
     """Write ``state`` beside the table's files and let the table have them in one catalog step."""
     spark = state.sparkSession
     wanted = spark.read.table(name).schema
-    # bucketed tables keep their layout only in Spark's own writer
-    if _provider(spark, name) not in ("parquet", "orc") or _described(spark, name, "Num Buckets"):
+    # bucketed tables keep their layout only in Spark's own writer; a managed table goes with its first folder only
+    movable = _provider(spark, name) in ("parquet", "orc") and _described(spark, name, "Type") == "EXTERNAL"
+    if not movable or _described(spark, name, "Num Buckets"):
         materialize(state, "merged").write.insertInto(name, overwrite=True)
         return
     folder = f"{_base(_described(spark, name, 'Location'))}{VERSION}{uuid.uuid4().hex}"
@@ -240,7 +241,7 @@ def merge_table(
     """Apply an action to a table in place; a missing table is created.
 
     Formats with row-level operations run a MERGE. Plain files have none. The new state of an
-    unpartitioned table is written to a folder of its own, once, and the catalog then takes that
+    unpartitioned external table (Parquet, ORC) is written to a folder of its own, once, and the catalog then takes that
     folder for the table in a single step: a job that ends before it leaves the old state, and readers
     see one of the two. The old folder stays; ``old_versions`` names it. For a table partitioned by one
     column only the partitions that hold matching keys or receive rows are read in full and rewritten,

@@ -6,11 +6,11 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     active = session(
         "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
         spark__driver__memory="6g", spark__sql__catalogImplementation="in-memory",
-        spark__sql__warehouse__dir="/tmp/rowloom-warehouse",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     active.sparkContext.setLogLevel("ERROR")
     yield active
