@@ -15,8 +15,7 @@ in a single document every rare word would stand with the entity alone.
 
 Counts are summed per slice before they are shuffled, keyed by (entity, term), by term or by entity, so a
 frequent entity or term is one row per task. Only documents with an entity of ``support`` documents are
-searched for terms, and only terms whose counts there leave a share of ``generalise_at`` possible are counted
-in all documents. Nothing but the number of documents, and a bit table of bounded size, reaches the driver.
+searched for terms. Nothing but the number of documents, and a bit table of bounded size, reaches the driver.
 """
 
 from __future__ import annotations
@@ -172,30 +171,22 @@ def _marks(shared):
     return run
 
 
-def _terms(wanted=None):
-    """Rows (term, documents with it), summed over a batch; with a bit table only terms that are perhaps in it."""
-
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(0)
-            parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-            for at, to in slices(texts):
-                words = split_words(texts.slice(at, to - at), ALNUM_LOWER)
-                # one row per document and term: distinct hashes of (term, document)
-                term, text = words.hash, words.text
-                if wanted is not None:
-                    hit = look_up(wanted.value, term.view(np.int64))
-                    term, text = term[hit], text[hit]
-                order = np.lexsort((text, term))
-                term, text = term[order], text[order]
-                fresh = np.ones(len(term), bool)
-                fresh[1:] = (term[1:] != term[:-1]) | (text[1:] != text[:-1])
-                parts.append(np.unique(term[fresh], return_counts=True))
-            term, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            n = np.bincount(place, weights=np.concatenate([p[1] for p in parts]), minlength=len(term)).astype(np.int64)
-            yield pa.record_batch({"t": term.view(np.int64), "n": n})
-
-    return run
+def _terms(batches):
+    """Rows (term, documents with it), summed over a batch."""
+    for batch in batches:
+        texts = batch.column(0)
+        parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        for at, to in slices(texts):
+            words = split_words(texts.slice(at, to - at), ALNUM_LOWER)
+            # one row per document and term: distinct hashes of (term, document)
+            order = np.lexsort((words.text, words.hash))
+            term, text = words.hash[order], words.text[order]
+            fresh = np.ones(len(term), bool)
+            fresh[1:] = (term[1:] != term[:-1]) | (text[1:] != text[:-1])
+            parts.append(np.unique(term[fresh], return_counts=True))
+        term, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        n = np.bincount(place, weights=np.concatenate([p[1] for p in parts]), minlength=len(term)).astype(np.int64)
+        yield pa.record_batch({"t": term.view(np.int64), "n": n})
 
 
 def find_private(
@@ -220,15 +211,11 @@ def find_private(
     texts = scanned.filter("text IS NOT NULL").select("rid", "text", "base").join(lists.select(apart("rid").alias("r"), "entities"), F.col("rid") == F.col("r"))
     texts = materialize(texts.select("text", "base", "entities", "rid"), "pii-texts")
     pairs = texts.mapInArrow(_pairs, "e bigint, t bigint, n bigint").groupBy("e", "t").agg(F.sum("n").alias("n_et")).filter(F.col("n_et") >= support)
-    # a share of generalise_at allows a term this many documents; those with entities alone rule out most terms
-    most = F.col("n_et") * F.pow(F.lit(float(n_docs)) / F.col("n_e"), F.lit(1.0 - generalise_at)) * (1 + 1e-9)
-    near = texts.select("text").mapInArrow(_terms(), "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n_near"))
-    pairs = pairs.join(entities, "e").join(near, "t").filter(F.col("n_near") <= most).select("e", "t", "n_et", "n_e")
     pairs = materialize(pairs, "pairs")
-    wanted = bit_table(materialize(pairs.select("t").distinct(), "pair-terms"), "t")
-    terms = docs.select(F.col(f"`{text}`")).mapInArrow(_terms(wanted), "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n_t"))
+    # counted before the join, so that what is exchanged grows with the documents and not with the pairs
+    terms = docs.select(F.col(f"`{text}`")).mapInArrow(_terms, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n_t"))
     told = F.log(F.lit(float(n_docs)) * F.col("n_et") / F.col("n_e") / F.col("n_t")) / F.log(F.lit(float(n_docs)) / F.col("n_e"))
-    disclosing = pairs.join(terms, "t").select("e", "t", told.alias("share")).filter((F.col("share") >= generalise_at) & ~F.isnan("share"))
+    disclosing = pairs.join(entities, "e").join(terms, "t").select("e", "t", told.alias("share")).filter((F.col("share") >= generalise_at) & ~F.isnan("share"))
     disclosing = materialize(disclosing.withColumn("both", F.col("e").bitwiseXOR(F.col("t"))), "disclosing")
     marks = texts.mapInArrow(_marks(bit_table(disclosing, "both")), "rid bigint, e bigint, t bigint, start int, end int")
     added = marks.join(disclosing, ["e", "t"]).groupBy("rid", "start", "end").agg(F.max("share").alias("share"))
