@@ -5,8 +5,9 @@ a text. Hidden states emit classes; a word of the common class has its probabili
 add-half counts, so a text's probability is that of its class sequence times those of its rare words.
 
 Each round of Baum-Welch runs over all training texts: tasks compute expected starts, transitions and
-emissions of their texts, and the sums over all tasks make the next model. The first guess comes from the
-same rounds over a bounded sample of about ``WARM_ROWS`` texts.
+emissions of their texts, and the sums over all tasks make the next model. The first guess are the word
+counts of all training texts, shaken by fixed random factors. Texts of like length lie together, so that
+the recursions step through many of them at once.
 
 Counts of all training words stay a table. Tasks hold the counts of at most ``LOOKUP`` frequent words;
 the other words of a text are joined with the table, so every count is exact whatever the vocabulary.
@@ -28,7 +29,8 @@ from rowloom.session import materialize
 STATES = 8
 WORDS = 4094
 LOOKUP = 1 << 18
-WARM_ROWS, WARM_ROUNDS, ROUNDS = 1500, 12, 2
+ROUNDS = 14
+SCALED = 4  # steps from one scaling to the next
 SLICE_TOKENS = 1 << 20
 ENCODED = "training boolean, n_tokens bigint, n_known bigint, log_known double, n_rare bigint, log_rare double, codes binary, rest array<bigint>, rest_n array<int>"
 
@@ -138,45 +140,68 @@ class Layout:
 
 
 def forward(model: Model, rows: list[np.ndarray], keep: bool = False):
-    """Natural log of each sequence's probability; with ``keep`` also the layout, scaled forwards and scales."""
+    """Natural log of each sequence's probability; with ``keep`` also the layout, scaled forwards and scales by step.
+
+    States are rows, so that each operation runs along the texts. Emissions are relative to the likeliest
+    state of their class, which keeps ``SCALED`` steps far from underflow.
+    """
     layout = Layout(rows)
-    emit = np.ascontiguousarray(model.emit.T)
+    most = model.emit.max(axis=0)
+    emit, worth, move = model.emit / most, np.log(most), np.ascontiguousarray(model.move.T)
     total = np.zeros(len(rows))
-    alphas = np.empty((layout.at[-1] if keep else 0, len(model.start)), np.float32)
-    scales = np.empty(layout.at[-1] if keep else 0)
-    alpha = np.broadcast_to(model.start, (len(rows), len(model.start)))
-    ones = np.ones(len(model.start))
+    alphas = np.empty((len(model.start), layout.at[-1] if keep else 0))
+    scales = {}
+    alpha = np.ones((len(model.start), len(rows))) / len(model.start)
     for t, n in enumerate(layout.live):
         a, b = layout.at[t], layout.at[t + 1]
-        alpha = (alpha[:n] @ model.move if t else alpha[:n]) * emit[layout.code[a:b]]
-        scale = alpha @ ones
-        alpha = alpha / scale[:, None]
-        total[:n] += np.log(scale)
-        if keep:
-            alphas[a:b], scales[a:b] = alpha, scale
-    out = np.empty(len(rows))
-    out[layout.order] = total
-    return (out, layout, alphas, scales) if keep else out
+        code = layout.code[a:b]
+        if n < alpha.shape[1]:
+            total[n : alpha.shape[1]] += np.log(alpha[:, n:].sum(axis=0))
+        seen = emit.take(code, axis=1)
+        out = alphas[:, a:b] if keep else np.empty(seen.shape)
+        if t:
+            np.matmul(move, alpha[:, :n], out=out)
+            out *= seen
+        else:
+            np.multiply(model.start[:, None], seen, out=out)
+        total[:n] += worth.take(code)
+        if t % SCALED == 0:
+            scales[t] = out.sum(axis=0)
+            out /= scales[t]
+            total[:n] += np.log(scales[t])
+        alpha = out
+    total[: alpha.shape[1]] += np.log(alpha.sum(axis=0))
+    logs = np.empty(len(rows))
+    logs[layout.order] = total
+    return (logs, layout, alphas, scales) if keep else logs
 
 
 def expect(model: Model, rows: list[np.ndarray]) -> np.ndarray:
     """Expected starts, transitions and emissions of the sequences, and their log probability, in one vector."""
     states, classes = model.emit.shape
     logs, layout, gamma, scales = forward(model, rows, keep=True)
-    emit = np.ascontiguousarray(model.emit.T)
-    beta = np.ones((len(rows), states))
+    emit, move = model.emit / model.emit.max(axis=0), np.ascontiguousarray(model.move)
+    beta = np.empty((states, len(rows)))
     moves = np.zeros((states, states))
+    ended = 0
     for t in range(len(layout.live) - 1, -1, -1):
         n, a, b = layout.live[t], layout.at[t], layout.at[t + 1]
+        alpha = gamma[:, a:b]
+        if n > ended:
+            beta[:, ended:n] = 1 / alpha[:, ended:].sum(axis=0)
+            ended = n
         if t:
-            weighted = emit[layout.code[a:b]] * beta[:n] / scales[a:b, None]
+            weighted = emit.take(layout.code[a:b], axis=1)
+            weighted *= beta[:, :n]
+            if t in scales:
+                weighted /= scales[t]
             before = layout.at[t - 1]
-            moves += gamma[before : before + n].T.astype(np.float64) @ weighted
-        gamma[a:b] *= beta[:n]
+            moves += gamma[:, before : before + n] @ weighted.T
+        alpha *= beta[:, :n]
         if t:
-            beta[:n] = weighted @ model.move.T
-    emits = np.stack([np.bincount(layout.code, weights=gamma[:, s], minlength=classes) for s in range(states)])
-    starts = gamma[: layout.live[0]].sum(axis=0) if len(layout.live) else np.zeros(states)
+            np.matmul(move, weighted, out=beta[:, :n])
+    emits = np.stack([np.bincount(layout.code, weights=g, minlength=classes) for g in gamma])
+    starts = gamma[:, : layout.live[0]].sum(axis=1) if len(layout.live) else np.zeros(states)
     return np.concatenate([starts, (moves * model.move).ravel(), emits.ravel(), [logs.sum()]])
 
 
@@ -206,9 +231,8 @@ def _model(total: np.ndarray, states: int, prior: np.ndarray) -> Model:
     return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True))
 
 
-def fit(encoded: DataFrame, counts: Counts, states: int = STATES, rounds: int = ROUNDS, seed: int = 11) -> Model:
-    """A model of the rows with ``training``; without any, the counts' add-half distribution in every state."""
-    spark = encoded.sparkSession
+def guess(counts: Counts, states: int = STATES, seed: int = 11) -> tuple[Model, np.ndarray]:
+    """A first model around the add-half distribution of the classes, and that distribution."""
     classes = counts.end + 1
     share = np.full(classes, 0.5)
     np.add.at(share, counts.code, np.where(counts.code == counts.rare, 0, counts.count))
@@ -219,17 +243,23 @@ def fit(encoded: DataFrame, counts: Counts, states: int = STATES, rounds: int =
     emit = share * np.exp(rng.normal(0, 0.5, (states, classes)))
     move = np.full((states, states), 0.1 / max(states - 1, 1))
     np.fill_diagonal(move, 0.9)
-    model = Model(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True))
+    return Model(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True)), share
+
+
+def fit(encoded: DataFrame, counts: Counts, states: int = STATES, rounds: int = ROUNDS, seed: int = 11) -> Model:
+    """A model of the rows with ``training``, all of them in each round; without any, the first guess."""
+    spark = encoded.sparkSession
+    model, share = guess(counts, states, seed)
     if not counts.n_texts:
         return model
-    training = encoded.filter("training").select("codes")
-    warm = training.filter(F.pmod(F.xxhash64("codes"), F.lit(counts.n_texts)) < WARM_ROWS)
-    warm = materialize(warm.repartition(4), "warm-up")
+    # equal lengths, as of copies, are told apart by the row
+    training = encoded.filter("training").select("codes", "n_tokens", "rid").repartitionByRange("n_tokens", "rid")
+    training = materialize(training.sortWithinPartitions("n_tokens").select("codes"), "training")
     prior = share * 0.5  # half a word of the overall distribution in each state
-    for k in range(WARM_ROUNDS + rounds):
+    for _ in range(rounds):
         shared = spark.sparkContext.broadcast(model)
-        sums = (warm if k < WARM_ROUNDS else training).mapInArrow(_expectations(shared), "i bigint, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
-        total = np.zeros(states + states * states + states * classes + 1)
+        sums = training.mapInArrow(_expectations(shared), "i bigint, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
+        total = np.zeros(states + states * states + model.emit.size + 1)
         total[sums.column("i").to_numpy()] = sums.column("v").to_numpy()
         model = _model(total[:-1], states, prior)
         shared.unpersist()

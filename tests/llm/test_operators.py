@@ -272,6 +272,21 @@ def test_forward_recursion_sums_all_paths():
     assert expected[:2].sum() == pytest.approx(2) and expected[2:6].sum() == pytest.approx(3) and expected[6:12].sum() == pytest.approx(5)
 
 
+def test_hidden_markov_learns_from_all_texts_in_each_round(spark):
+    """More texts than any warm-up once held; the same rounds over all of them at once give the same model."""
+    rng = np.random.default_rng(5)
+    rows = [np.append(rng.integers(0, 4, rng.integers(0, 9)), 5) for _ in range(3000)]
+    words = np.bincount(np.concatenate(rows), minlength=6)
+    counts = hmm.Counts(np.arange(4, dtype=np.uint64), words[:4], np.arange(4), len(rows), int(words.sum()), 5, 4, 5, 0, 0)
+    table = [(i, True, len(r), bytearray(r.astype("<u2").tobytes())) for i, r in enumerate(rows)]
+    encoded = spark.createDataFrame(table, "rid bigint, training boolean, n_tokens bigint, codes binary").repartition(3)
+    model, share = hmm.guess(counts, 2)
+    for _ in range(2):
+        model = hmm._model(hmm.expect(model, rows)[:-1], 2, share * 0.5)
+    for mine, theirs in zip(hmm.fit(encoded, counts, 2, 2), model, strict=True):
+        assert mine == pytest.approx(theirs)
+
+
 def test_repeats_handle_odd_rows(odd, none):
     got = phrases.remove_repeats(odd).collect()
     assert len(got) == len(ODD)
