@@ -14,6 +14,7 @@ from rowloom.flows import Flows
 from rowloom.operators.shape import regex_fields
 
 Schema = str | T.StructType
+XML_ROWS = 100_000  # of a written XML file, which Spark reads in one task
 
 
 def read_delimited(
@@ -157,9 +158,16 @@ def write_delimited(df: DataFrame, path: str, separator: str = ",", header: bool
     write_files(df, path, "csv", mode, sep=separator, header=header, encoding=encoding, **options)
 
 
-def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str, mode: str = "errorifexists", **options: object) -> None:
-    """Nested output comes from struct and array columns."""
-    write_files(df, path, "xml", mode, rootTag=root_tag, rowTag=row_tag, **options)
+def write_xml(
+    df: DataFrame, path: str, root_tag: str, row_tag: str, mode: str = "errorifexists", max_rows_per_file: int | None = None, **options: object
+) -> None:
+    """Nested output comes from struct and array columns.
+
+    Spark cannot cut an XML file for reading, so a file holds at most ``max_rows_per_file`` elements, ``XML_ROWS``
+    if not given; 0 sets no bound. Give less for elements of many kilobytes.
+    """
+    most = XML_ROWS if max_rows_per_file is None else max_rows_per_file
+    write_files(df, path, "xml", mode, max_rows_per_file=most, rootTag=root_tag, rowTag=row_tag, **options)
 
 
 def fixed_width_line(fields: Sequence[tuple[str, int, str]]) -> Column:

@@ -223,3 +223,13 @@ def test_merge_switches_versions_in_one_step(spark, rows, tmp_path, monkeypatch)
     spark.sql(f"INSERT INTO {name} VALUES (9, 'z')")
     assert spark.read.table(name).count() == 3
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_nested_xml_files_hold_a_bounded_number_of_elements(spark, tmp_path, monkeypatch):
+    """One task reads a whole XML file, so one writer of many rows makes several files."""
+    monkeypatch.setattr(files, "XML_ROWS", 4, raising=False)
+    rows = spark.range(10).selectExpr("id AS order_id", "array(named_struct('no', 1, 'quantity', id / 2)) AS line").coalesce(1)
+    files.write_xml(rows, str(tmp_path / "tree"), "orders", "order")
+    assert len(list((tmp_path / "tree").glob("part-*"))) == 3
+    read = files.read_xml(spark, str(tmp_path / "tree"), "order", "order_id bigint, line array<struct<no:int,quantity:double>>")
+    assert sorted(map(str, read.collect())) == sorted(map(str, rows.collect()))
