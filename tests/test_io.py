@@ -233,3 +233,13 @@ def test_nested_xml_files_hold_a_bounded_number_of_elements(spark, tmp_path, mon
     assert len(list((tmp_path / "tree").glob("part-*"))) == 3
     read = files.read_xml(spark, str(tmp_path / "tree"), "order", "order_id bigint, line array<struct<no:int,quantity:double>>")
     assert sorted(map(str, read.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_xml_files_of_one_writer_are_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "XML_ROWS", 4, raising=False)
+    rows = spark.range(10).selectExpr("id AS k", "concat('n', id) AS name").coalesce(1)
+    files.write_xml(rows, str(tmp_path / "cut"), "parts", "part")
+    files.write_xml(rows, str(tmp_path / "whole"), "parts", "part", max_rows_per_file=0)
+    assert [len(list((tmp_path / d).glob("part-*"))) for d in ("cut", "whole")] == [3, 1]
+    got, whole = (sorted(map(tuple, files.read_xml(spark, str(tmp_path / d), "part", "k bigint, name string").collect())) for d in ("cut", "whole"))
+    assert got == whole == sorted(map(tuple, rows.collect()))
