@@ -115,8 +115,10 @@ SELECT o_orderkey, o_orderdate, count(*) AS lines FROM orders JOIN lineitem ON l
 def bucketed_join(t: Tables) -> DataFrame:
     """Both tables bucketed on the order key, so join and grouping need no exchange."""
     orders, lines = _new_table(t, "orders_b"), _new_table(t, "lines_b")
-    TB.save_table(t.orders.select("o_orderkey", "o_orderdate"), orders["name"], "overwrite", bucket_by=(8, ["o_orderkey"]), path=orders["path"])
-    TB.save_table(t.lineitem.select("l_orderkey", "l_linenumber"), lines["name"], "overwrite", bucket_by=(8, ["l_orderkey"]), path=lines["path"])
+    n = TB.bucket_count(t.orders, t.lineitem)
+    for df, key, table in ((t.orders.select("o_orderkey", "o_orderdate"), "o_orderkey", orders), (t.lineitem.select("l_orderkey", "l_linenumber"), "l_orderkey", lines)):
+        # dealt out as Spark deals out buckets, so each bucket is one file
+        TB.save_table(df.repartition(n, key), table["name"], "overwrite", bucket_by=(n, [key]), path=table["path"])
     joined = TB.read_table(t.spark, orders["name"]).join(TB.read_table(t.spark, lines["name"]), F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_orderkey", "o_orderdate").agg(F.count(F.lit(1)).alias("lines"))
 

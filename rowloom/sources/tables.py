@@ -19,6 +19,7 @@ from rowloom.session import materialize
 # Table formats that support MERGE.
 ROW_LEVEL_FORMATS = ("delta", "iceberg", "hudi")
 VERSION = "-v"
+BUCKET_ROWS = 1_000_000  # that a bucket holds on average
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -61,6 +62,14 @@ class FlowCache:
             self._flows.pop(name).unpersist()
 
 
+def bucket_count(*tables: DataFrame, least: int = 8) -> int:
+    """Buckets for tables that are joined on them: as many as the rows of the largest need, ``least`` at least.
+
+    One task sorts and joins a bucket, so a fixed number would let its memory grow with the tables.
+    """
+    return max([least, *[-(-df.count() // BUCKET_ROWS) for df in tables]])
+
+
 def save_table(
     df: DataFrame,
     name: str,

@@ -1,9 +1,11 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowloom.plans import QUERIES
 from rowloom.sources import connectors, files, jdbc
 from rowloom.sources import tables as TB
 from rowloom.streaming.sources import load_available, read_file_stream, topic_options
@@ -243,3 +245,13 @@ def test_xml_files_of_one_writer_are_read_by_several_tasks(spark, tmp_path, monk
     assert [len(list((tmp_path / d).glob("part-*"))) for d in ("cut", "whole")] == [3, 1]
     got, whole = (sorted(map(tuple, files.read_xml(spark, str(tmp_path / d), "part", "k bigint, name string").collect())) for d in ("cut", "whole"))
     assert got == whole == sorted(map(tuple, rows.collect()))
+
+
+def test_buckets_grow_with_the_tables(spark, sf_dir, monkeypatch):
+    """With few rows to a bucket the scans show more buckets than the least number, and the counts stay."""
+    monkeypatch.setattr(TB, "BUCKET_ROWS", 500, raising=False)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    joined = QUERIES["bucketed_join"](spark, sf_dir)
+    buckets = {int(n) for n in re.findall(r"SelectedBucketsCount: \d+ out of (\d+)", joined._jdf.queryExecution().executedPlan().toString())}
+    assert buckets == {-(-lines.count() // 500)}
+    assert joined.agg(F.sum("lines")).first()[0] == lines.count()
