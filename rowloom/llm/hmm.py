@@ -7,7 +7,7 @@ add-half counts, so a text's probability is that of its class sequence times tho
 Each round of Baum-Welch runs over all training texts: tasks compute expected starts, transitions and
 emissions of their texts, and the sums over all tasks make the next model. The first guess are the word
 counts of all training texts, shaken by fixed random factors. Texts of like length lie together, so that
-the recursions step through many of them at once.
+the recursions step through many of them at once, in files of about ``PART_TOKENS`` tokens each.
 
 Counts of all training words stay a table. Tasks hold the counts of at most ``LOOKUP`` frequent words;
 the other words of a text are joined with the table, so every count is exact whatever the vocabulary.
@@ -19,6 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,8 @@ LOOKUP = 1 << 18
 ROUNDS = 14
 SCALED = 4  # steps from one scaling to the next
 SLICE_TOKENS = 1 << 20
+PART_TOKENS = 4 << 20
+SLOTS = 1 << 20
 ENCODED = "training boolean, n_tokens bigint, n_known bigint, log_known double, n_rare bigint, log_rare double, codes binary, rest array<bigint>, rest_n array<int>"
 
 
@@ -89,21 +92,46 @@ def frequent(counts: DataFrame, n_texts: int) -> Counts:
     return Counts(h[by_hash], c[by_hash], code[by_hash], n_texts, row.n + n_texts, row.v + (n_texts > 0), rare, rare + 1, row.n - top, row.v - rare)
 
 
+class Finder:
+    """Places of values in a sorted array: at once where a value has its slot, by search for the others."""
+
+    def __init__(self, values: np.ndarray, weights: np.ndarray) -> None:
+        self.values = values
+        order = np.argsort(weights, kind="stable")  # the heaviest value keeps a slot that several share
+        self.slot = np.zeros(SLOTS, np.int32)
+        self.slot[self._of(values[order])] = order
+
+    def _of(self, values: np.ndarray) -> np.ndarray:
+        return (values & np.uint64(SLOTS - 1)).astype(np.int64)
+
+    def __call__(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each value, and whether it is there."""
+        if not len(self.values):
+            return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+        place = self.slot[self._of(values)].astype(np.int64)
+        known = self.values[place] == values
+        missed = np.flatnonzero(~known)
+        found = np.searchsorted(self.values, values[missed])
+        found[found == len(self.values)] = 0
+        place[missed] = found
+        known[missed] = self.values[found] == values[missed]
+        return place, known
+
+
 def _encode(shared, n_row: int):
     def run(batches):
         counts = shared.value
+        find, worth_of = Finder(counts.hash, counts.count), np.log10(counts.count + 0.5)
         for batch in batches:
             texts = batch.column(n_row)
             for at, to in slices(texts):
                 size = to - at
                 words = split_words(texts.slice(at, size), SPACED_LOWER)
-                place = np.searchsorted(counts.hash, words.hash)
-                place[place == len(counts.hash)] = 0
-                known = counts.hash[place] == words.hash if len(counts.hash) else np.zeros(len(place), bool)
+                place, known = find(words.hash)
                 code = np.full(len(place), counts.rare)
                 code[known] = counts.code[place[known]]
                 worth = np.zeros(len(place))
-                worth[known] = np.log10(counts.count[place[known]] + 0.5)
+                worth[known] = worth_of[place[known]]
                 rare = code == counts.rare
                 add = lambda w, t=words.text, size=size: np.bincount(t, weights=w, minlength=size).astype(float)
                 first = words.first
@@ -206,8 +234,10 @@ def expect(model: Model, rows: list[np.ndarray]) -> np.ndarray:
 
 
 def _sequences(codes: pa.Array):
-    """Lists of class sequences with at most SLICE_TOKENS tokens, or one sequence."""
-    for at, to in slices(codes, 2 * SLICE_TOKENS):
+    """Lists of class sequences of like sizes, with at most SLICE_TOKENS tokens and one sequence more."""
+    sizes = pc.binary_length(codes).to_numpy(zero_copy_only=False)
+    total = int(sizes.sum())
+    for at, to in slices(codes, total // max(1, -(-total // (2 * SLICE_TOKENS))) + int(sizes.max(initial=0))):
         yield at, [np.frombuffer(c.as_buffer(), "<u2").astype(np.int64) for c in codes.slice(at, to - at)]
 
 
@@ -246,15 +276,27 @@ def guess(counts: Counts, states: int = STATES, seed: int = 11) -> tuple[Model,
     return Model(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True)), share
 
 
+def _by_length(rows: DataFrame) -> DataFrame:
+    """Rows by rising length in parts of about PART_TOKENS tokens: a part of long texts holds fewer of them."""
+    level = F.floor(16 * F.log2("n_tokens")).cast("int")
+    found = rows.groupBy(level.alias("level")).agg(F.sum("n_tokens").alias("n")).collect()
+    size = np.zeros(max((r.level for r in found), default=0) + 1)
+    size[[r.level for r in found]] = [r.n for r in found]
+    parts = max(1, round(size.sum() / PART_TOKENS))
+    before, size = (F.get(F.lit(x.tolist()), level) for x in ((np.cumsum(size) - size) / max(size.sum(), 1), size / max(size.sum(), 1)))
+    # texts of one level are dealt out over the parts that the level takes up
+    share = F.pmod(F.xxhash64("rid"), F.lit(1 << 20)) / float(1 << 20)
+    part = F.least(F.floor((before + share * size) * parts), F.lit(parts - 1)).cast("int")
+    return rows.repartitionById(parts, part).sortWithinPartitions("n_tokens", "rid")
+
+
 def fit(encoded: DataFrame, counts: Counts, states: int = STATES, rounds: int = ROUNDS, seed: int = 11) -> Model:
     """A model of the rows with ``training``, all of them in each round; without any, the first guess."""
     spark = encoded.sparkSession
     model, share = guess(counts, states, seed)
     if not counts.n_texts:
         return model
-    # equal lengths, as of copies, are told apart by the row
-    training = encoded.filter("training").select("codes", "n_tokens", "rid").repartitionByRange("n_tokens", "rid")
-    training = materialize(training.sortWithinPartitions("n_tokens").select("codes"), "training")
+    training = materialize(_by_length(encoded.filter("training")).select("codes"), "training")
     prior = share * 0.5  # half a word of the overall distribution in each state
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(model)

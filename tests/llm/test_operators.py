@@ -287,6 +287,28 @@ def test_hidden_markov_learns_from_all_texts_in_each_round(spark):
         assert mine == pytest.approx(theirs)
 
 
+def test_hidden_markov_deals_long_texts_over_several_files(spark, monkeypatch):
+    """A file holds its share of the tokens, not of the texts; texts of a file are of like length."""
+    made, real = [], hmm.materialize
+    monkeypatch.setattr(hmm, "materialize", lambda df, label="stage": made.append((label, real(df, label))) or made[-1][1])
+    monkeypatch.setattr(hmm, "PART_TOKENS", 5000, raising=False)
+    texts = ["a b c"] * 400 + [f"w{i} " * 20 for i in range(200)] + ["long " * 1000] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert hmm.score_texts(docs, F.lit(True), rounds=1).count() == len(texts)
+    kept = dict(made)["training"].groupBy(F.input_file_name().alias("f")).agg(F.sum(F.length("codes") / 2).alias("n"), F.count("*").alias("k")).collect()
+    assert sum(r.k for r in kept) == len(texts) and sum(r.n for r in kept) == sum(len(t.split()) + 1 for t in texts)
+    assert len(kept) >= 8 and max(r.n for r in kept) < 15000
+
+
+def test_places_of_values_that_share_a_slot():
+    rng = np.random.default_rng(3)
+    values = np.unique(np.concatenate([rng.integers(0, 1 << 62, 500), 7 + (np.arange(50) << 40)]).astype(np.uint64))
+    asked = np.concatenate([rng.permutation(values), np.array([0, 7, 8, 1 << 63, (99 << 40) + 7], np.uint64)])
+    place, known = hmm.Finder(values, rng.integers(1, 9, len(values)))(asked)
+    assert known.tolist() == np.isin(asked, values).tolist() and (values[place[known]] == asked[known]).all()
+    assert not hmm.Finder(values[:0], values[:0])(asked)[1].any()
+
+
 def test_repeats_handle_odd_rows(odd, none):
     got = phrases.remove_repeats(odd).collect()
     assert len(got) == len(ODD)
