@@ -33,6 +33,7 @@ LOOKUP = 1 << 18
 ROUNDS = 14
 SCALED = 4  # steps from one scaling to the next
 SLICE_TOKENS = 1 << 20
+WIDTH = 2048  # sequences side by side, so that a step's arrays stay in the cache
 PART_TOKENS = 4 << 20
 SLOTS = 1 << 20
 ENCODED = "training boolean, n_tokens bigint, n_known bigint, log_known double, n_rare bigint, log_rare double, codes binary, rest array<bigint>, rest_n array<int>"
@@ -234,11 +235,12 @@ def expect(model: Model, rows: list[np.ndarray]) -> np.ndarray:
 
 
 def _sequences(codes: pa.Array):
-    """Lists of class sequences of like sizes, with at most SLICE_TOKENS tokens and one sequence more."""
+    """Lists of at most WIDTH class sequences, with at most SLICE_TOKENS tokens and one sequence more."""
     sizes = pc.binary_length(codes).to_numpy(zero_copy_only=False)
     total = int(sizes.sum())
     for at, to in slices(codes, total // max(1, -(-total // (2 * SLICE_TOKENS))) + int(sizes.max(initial=0))):
-        yield at, [np.frombuffer(c.as_buffer(), "<u2").astype(np.int64) for c in codes.slice(at, to - at)]
+        for low in range(at, to, WIDTH):
+            yield low, [np.frombuffer(c.as_buffer(), "<u2").astype(np.int64) for c in codes.slice(low, min(WIDTH, to - low))]
 
 
 def _expectations(shared):
